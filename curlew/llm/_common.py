@@ -14,6 +14,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; texts go to Python in batches of about a thousand rows, as a few may be very long."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -77,3 +80,21 @@ def fresh(name: str, columns: list[str]) -> str:
     while name.lower() in {c.lower() for c in columns}:
         name += "_"
     return name
+
+
+#: Bits of a bitmap of hashed keys: 4 MB, however many keys there are.
+BITMAP = 1 << 25
+
+
+def bitmap_filter(df: DataFrame, keyed: DataFrame, keys: list[str], flag: str | None = None) -> DataFrame:
+    """Passes rows of `df` whose keys may be among those of `keyed` (or, with `flag`, says so in a column).
+
+    The hashed keys are sent to all executors as a bitmap of fixed size, so rows that can't join aren't
+    shuffled. Where keys outnumber the bits it lets more rows pass; what it drops never joins.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(BITMAP))
+    words = keyed.select(slot.alias("s")).groupBy(F.expr("shiftright(s, 6)").alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 AS int)))").alias("_bits"))
+    marked = df.withColumn("_slot", slot)
+    joined = marked.join(F.broadcast(words), F.expr("shiftright(_slot, 6)") == words["_word"], "left")
+    hit = F.coalesce(F.expr("(_bits & shiftleft(1L, cast(_slot & 63 AS int))) != 0"), F.lit(False))
+    return joined.filter(hit).select(*df.columns) if flag is None else joined.select(*df.columns, hit.alias(flag))
