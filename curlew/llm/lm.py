@@ -32,7 +32,7 @@ FREQUENT = CLASSES * IN_CLASS
 WINDOW = 16
 LANES = 256
 ROUNDS = 3
-RATE = 0.08
+RATE, START = 0.05, 0.1
 #: Bytes of text in a block, and tokens trained on or scored side by side.
 BLOCK = 6 << 20
 TOKENS = 4 << 20
@@ -371,7 +371,7 @@ def score(model: Gru, docs: list[np.ndarray]) -> np.ndarray:
 
 class Adagrad:
     def __init__(self, model: Gru, rate: float = RATE):
-        self.model, self.rate, self.sums = model, rate, {k: np.full_like(v, 1e-3) for k, v in model.p.items()}
+        self.model, self.rate, self.sums = model, rate, {k: np.full_like(v, START) for k, v in model.p.items()}
 
     def step(self, grads: dict, n: int) -> None:
         for k, p in self.model.p.items():
