@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import tempfile
 import uuid
 
@@ -51,6 +52,12 @@ def store(df: DataFrame, name: str) -> Stored:
     return Stored(df, name)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of stages whose results are stored, instead of at the driver's next garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

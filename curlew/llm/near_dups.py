@@ -6,8 +6,9 @@ most of their buckets share (one candidate pair a document, so a group of n near
 squared). A pair is compared batch by batch of its signatures and dropped as soon as the posterior probability
 (uniform prior) that its similarity reaches the threshold is under MISS; survivors are verified on full sets.
 Verified pairs are joined into components. Buckets whose members are then still in different components are
-compared again across components, with more candidates a member from round to round and all of them in the
-last, so no surviving pair of different components is left unverified.
+compared across components where they meet: pairs that pass the signatures are held against their sets (32-bit
+hashes), and of each member and component the likeliest pair goes on to full verification. If one of those
+fails there, all pairs go on, so no surviving pair of different components is left unverified.
 
 A pair at the threshold shares no band with probability (1 - t**ROWS)**BANDS: 7e-6 at 0.85, 1e-4 at 0.8.
 
@@ -33,8 +34,8 @@ SIZE = BANDS * ROWS + EXTRA
 MISS = 1e-5
 #: Members of a bucket compared in one task.
 CHUNK = 1024
-#: Candidates a member and component that a round verifies; None: all.
-ROUNDS = (1, 8, 64, None)
+#: Pairs a member and component that a round verifies; None: all.
+ROUNDS = (1, None)
 
 _rng = np.random.default_rng(8675309)
 _MUL = (_rng.integers(0, 1 << 31, SIZE, np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -107,25 +108,26 @@ def least_matches(threshold: float, miss: float = MISS) -> dict[int, int]:
 
 
 def shingled(docs: DataFrame, n: int, keep: list[str]) -> DataFrame:
-    """keep, n_shingles, seq (hash of the word sequence), sig (null for empty sets)."""
+    """keep, n_shingles, seq (hash of the word sequence), sig and set (32-bit hashes in order); these are null for empty sets."""
     from pyspark.sql import types as T
 
     base = docs.select(utf8(F.col("text")).alias("body"), *keep)
-    schema = T.StructType([*base.schema.fields[1:], T.StructField("n_shingles", T.LongType()), T.StructField("seq", T.BinaryType()), T.StructField("sig", T.BinaryType())])
+    schema = T.StructType([*base.schema.fields[1:], T.StructField("n_shingles", T.LongType()), T.StructField("seq", T.BinaryType()), T.StructField("sig", T.BinaryType()), T.StructField("set", T.BinaryType())])
 
     def run(batches):
         import pyarrow as pa
 
         make = Shingler(n)
         for batch in batches:
-            counts, seqs, sigs = [], [], []
+            counts, seqs, sigs, sets = [], [], [], []
             for body in batch.column(0):
                 h, words = make.ids(body.as_py())
                 s = make.of(h)
                 counts.append(len(s))
                 seqs.append(hashlib.md5(b" ".join(words), usedforsecurity=False).digest() if len(s) else None)
                 sigs.append(signature(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(counts, pa.int64()), pa.array(seqs, pa.binary()), pa.array(sigs, pa.binary())], names=schema.names)
+                sets.append((s >> np.uint64(32)).astype("<u4").tobytes() if len(s) else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(counts, pa.int64()), pa.array(seqs, pa.binary()), pa.array(sigs, pa.binary()), pa.array(sets, pa.binary())], names=schema.names)
 
     return base.mapInArrow(run, schema)
 
@@ -230,11 +232,11 @@ class Verifier:
         return both.mapInArrow(run, "u long, v long")
 
 
-def across(mixed: DataFrame, threshold: float, most: int | None) -> DataFrame:
-    """Pairs (u, v) of members of a bucket in different components that pass the bounds; of each member and component of others the `most` likeliest.
+def across(mixed: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """Pairs (u, v) of members of a bucket in different components that pass the bounds and their 32-bit sets; of each member and component of others the `most` likeliest.
 
-    mixed: bucket, rep, comp, sig. The largest component of a bucket is cut into chunks and the rest repeated for
-    each; the rest among themselves go by pairs of chunks. No task gets more than about two chunks.
+    mixed: bucket, rep, comp, sig, set. The largest component of a bucket is cut into chunks and the rest repeated
+    for each; the rest among themselves go by pairs of chunks. No task gets more than about two chunks.
     """
     sizes = mixed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     per = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.max("n").alias("n_top"), F.sum("n").alias("n_all"))
@@ -243,20 +245,23 @@ def across(mixed: DataFrame, threshold: float, most: int | None) -> DataFrame:
     parts = F.ceil((F.col("n_all") - F.col("n_top")) / CHUNK)
     own = F.pmod(F.xxhash64("rep"), chunks)
     part = F.pmod(F.xxhash64("rep", F.lit(1)), F.greatest(parts, F.lit(1)))
-    # (side 0: top component in its chunk; 1: others, for every chunk; 2, 3: others by pairs of parts)
     against = F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda c: F.struct(F.lit("t").alias("kind"), c.alias("i"), F.lit(0).cast("long").alias("j")))
     among = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(parts, F.lit(1)) - 1), lambda c: F.struct(F.lit("o").alias("kind"), F.least(c, part).alias("i"), F.greatest(c, part).alias("j")))
     where = F.when(F.col("comp") == F.col("top"), F.array(F.struct(F.lit("t").alias("kind"), own.alias("i"), F.lit(0).cast("long").alias("j")))).otherwise(F.concat(against, among))
-    dealt = placed.select("bucket", F.explode(where).alias("g"), "rep", "comp", "sig", (F.col("comp") == F.col("top")).alias("is_top"), part.alias("part"))
-    least = least_matches(threshold)
+    dealt = placed.select("bucket", F.explode(where).alias("g"), "rep", "comp", "sig", "set", (F.col("comp") == F.col("top")).alias("is_top"), part.alias("part"))
+    least = least_matches(percent / 100)
 
     def run(group):
         import pyarrow as pa
 
-        rep, comp = (np.asarray(group.column(c).combine_chunks()) for c in ("rep", "comp"))
+        rep, comp, part = (np.asarray(group.column(c).combine_chunks()) for c in ("rep", "comp", "part"))
         sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(-1, SIZE)
-        kind, i, j = group.column("kind")[0].as_py(), group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        part, top = np.asarray(group.column("part").combine_chunks()), np.asarray(group.column("is_top").combine_chunks().to_numpy(zero_copy_only=False)).astype(bool)
+        sets = [np.frombuffer(x, "<u4") for x in group.column("set").to_pylist()]
+        size = np.array([len(x) for x in sets], np.int64)
+        # texts of which two n-grams share a hash may have one more in common than it seems
+        slack = np.array([n - len(np.unique(x)) for n, x in zip(size, sets, strict=True)], np.int64)
+        top = np.array(group.column("is_top").to_pylist(), bool)
+        kind, i, j = (group.column(c)[0].as_py() for c in ("kind", "i", "j"))
         left, right = (np.flatnonzero(~top), np.flatnonzero(top)) if kind == "t" else (np.flatnonzero(part == i), np.flatnonzero(part == j))
         out_u, out_v = [], []
         for x in left:
@@ -265,8 +270,16 @@ def across(mixed: DataFrame, threshold: float, most: int | None) -> DataFrame:
                 if not len(y):
                     break
                 y = y[(sig[y, :n] == sig[x, :n]).sum(axis=1) >= m]
+            if not len(y):
+                continue
+            flat = np.concatenate([sets[k] for k in y])
+            own_set = sets[x]
+            at = np.minimum(np.searchsorted(own_set, flat), len(own_set) - 1)
+            both = np.add.reduceat((own_set[at] == flat).astype(np.int64), np.cumsum(size[y]) - size[y]) + slack[y] + slack[x]
+            union = size[y] + size[x] - both
+            ok = 100 * both >= percent * union
+            y, score = y[ok], both[ok] / union[ok]
             if len(y):
-                score = (sig[y] == sig[x]).sum(axis=1)
                 order = np.lexsort((rep[y], -score, comp[y]))
                 y = y[order]
                 if most is not None:
@@ -279,7 +292,7 @@ def across(mixed: DataFrame, threshold: float, most: int | None) -> DataFrame:
         u, v = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (out_u, out_v))
         return pa.table({"u": u, "v": v})
 
-    flat = dealt.select("bucket", "g.kind", "g.i", "g.j", "rep", "comp", "sig", "is_top", "part")
+    flat = dealt.select("bucket", "g.kind", "g.i", "g.j", "rep", "comp", "sig", "set", "is_top", "part")
     return flat.groupBy("bucket", "kind", "i", "j").applyInArrow(run, "u long, v long").filter("u != v").distinct()
 
 
@@ -302,6 +315,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 85, keep: list[str] | Non
     tested = store(check.likely(pairs), "tested").df
     edges = store(check.verified(tested).unionByName(same), "links").df
     labels = components(edges)
+    sets = rows.filter("sig IS NOT NULL AND doc_id IS NOT NULL").select("seq", F.col("doc_id").cast("long").alias("id"), "set")
     for most in ROUNDS:
         placed = members.select("bucket", "rep").join(labels.toDF("rep", "label"), "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("comp"))
         placed = store(placed, "placed").df
@@ -309,19 +323,20 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 85, keep: list[str] | Non
         mixed = store(salted_left_join(placed, open_, "bucket", F.col("rep")).filter("open").select("bucket", "rep", "comp"), "mixed").df
         if mixed.isEmpty():
             break
-        found = across(mixed.join(reps.select("rep", "sig"), "rep"), percent / 100, most)
+        # signatures and sets of the members alone, once a member
+        wanted = reps.join(mixed.select("rep").distinct(), "rep", "left_semi")
+        whole = bitmap_filter(sets, wanted, ["seq"]).groupBy("seq").agg(F.min_by("set", "id").alias("set"))
+        full = store(wanted.join(whole, "seq").select("rep", "sig", "set"), "members").df
+        found = across(mixed.join(full, "rep"), percent, most)
         new = store(found.join(tested, ["u", "v"], "left_anti"), "candidates").df
-        if new.isEmpty():
-            if most is None:
-                break
-            continue
         more = store(check.verified(new), "links").df
+        edges = edges.unionByName(more)
+        labels = components(edges)
+        if more.count() == new.count():
+            break
         tested = tested.unionByName(new)
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            labels = components(edges)
     named_reps = reps.select("seq", "rep").join(labels.toDF("rep", "label"), "rep", "left").select("seq", F.coalesce("label", "rep").alias("component_id"))
-    joined = salted_left_join(rows.drop("sig"), named_reps, "seq", F.col("doc_id"))
+    joined = salted_left_join(rows.drop("sig", "set"), named_reps, "seq", F.col("doc_id"))
     component = F.coalesce("component_id", F.col("doc_id").cast("long"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return joined.select(*keep, "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -122,8 +122,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         enc, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for pdf in batches:
-            for lo in range(0, len(pdf), 256):
-                chunk = pdf.iloc[lo : lo + 256]
+            for lo in range(0, len(pdf), 500):
+                chunk = pdf.iloc[lo : lo + 500]
                 rows = []
                 for doc, raw in zip(chunk["doc_id"], enc.encode(chunk["text"].tolist()), strict=True):
                     raw += end

@@ -3,9 +3,9 @@
 A byte goes if a string of `WIDTH` bytes that covers it also starts in a document with a smaller doc_id.
 
 Method. Sorting every suffix would shuffle over ten bytes for each byte of text. Instead suffixes are sampled
-where the text itself says so: every window of WIDTH bytes is represented by its smallest 16-byte string (by
+where the text itself says so: every window of WIDTH bytes is represented by its smallest 24-byte string (by
 hash, the leftmost of equals), so equal windows have equal anchors wherever they stand, at about one anchor
-in 18 bytes. Anchors are dealt by their hashed leading bytes over buckets, sorted there, and compared with
+in 14 bytes. Anchors are dealt by their hashed leading bytes over buckets, sorted there, and compared with
 their neighbours:
 1. windows that share an anchor form a run; runs of equal anchor and equal bytes are settled at once, all but
    the smallest doc_id's are removed;
@@ -29,10 +29,10 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm._common import bitmap_filter, fresh, shuffle_partitions, store, table, text_key, utf8
+from curlew.llm._common import bitmap_filter, fresh, release, shuffle_partitions, store, table, text_key, utf8
 
 WIDTH = 50
-GRAM = 16
+GRAM = 24
 SPAN = WIDTH - GRAM + 1  # anchors' places in a window
 #: Windows looked at together, and bytes of text whose runs are settled together: both bound a task's memory.
 SEGMENT = 1 << 20
@@ -81,7 +81,8 @@ def grams(data: np.ndarray) -> np.ndarray:
     data = np.ascontiguousarray(data)
     x = np.ndarray((n,), "<u8", data, 0, (1,))
     y = np.ndarray((n,), "<u8", data, 8, (1,))
-    return _mix(x * _C1 + (y ^ (y >> np.uint64(32))) * _C2)
+    z = np.ndarray((n,), "<u8", data, 16, (1,))
+    return _mix(_mix(x * _C1 + (y ^ (y >> np.uint64(32))) * _C2) + z * _C3)
 
 
 def runs(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -115,8 +116,8 @@ def runs(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, ...]:
 class Records:
     """Runs of many documents, settled among themselves and packed for the shuffle."""
 
-    def __init__(self, buckets: int):
-        self.buckets = buckets
+    def __init__(self, buckets: int, own_bytes: int = 5):
+        self.buckets, self.own_bytes = buckets, own_bytes
         self.clear()
 
     def clear(self):
@@ -130,7 +131,7 @@ class Records:
         return len(self.ids) - 1
 
     def add(self, doc: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray, own: np.ndarray):
-        self.parts.append((doc.astype(np.uint32), start.astype(np.int64), count.astype(np.uint8), key >> np.uint64(16), own >> np.uint64(24)))
+        self.parts.append((doc.astype(np.uint32), start.astype(np.int64), count.astype(np.uint8), key >> np.uint64(16), own >> np.uint64(64 - 8 * self.own_bytes)))
 
     def packed(self, tag: int):
         """(bucket, payload) of every bucket; marks that are already sure go with bucket `tag` modulo all."""
@@ -162,7 +163,7 @@ class Records:
         edges = np.flatnonzero(np.diff(bucket[at])) + 1
         for part in np.split(at, edges):
             if len(part):
-                yield int(bucket[part[0]]), pack_runs(ids, texts, doc[part], start[part], count[part], key[part], own[part], probe[part])
+                yield int(bucket[part[0]]), pack_runs(ids, texts, doc[part], start[part], count[part], key[part], own[part], probe[part], self.own_bytes)
 
 
 def settle(key: np.ndarray, own: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,31 +222,39 @@ def _wide(data, n: int, count: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def pack_runs(ids, texts, doc, start, count, key, own, probe) -> bytes:
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte, lowest first: small ones leave zeros that compress."""
+    return x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(data, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, n).T.copy().view("<i8").ravel()
+
+
+def pack_runs(ids, texts, doc, start, count, key, own, probe, own_bytes: int) -> bytes:
     used, local = np.unique(doc, return_inverse=True)
-    step = np.diff(start, prepend=0)
-    head = np.array([0, len(doc), len(used)], "<u4")
-    parts = (head, ids[used].astype("<i8"), texts[used].astype("<i8"), local.astype("<u4"), step.astype("<i8").view(np.uint8).reshape(-1, 8).T.copy(), (count | probe << 7).astype(np.uint8))
-    return b"".join([p.tobytes() for p in parts] + [_narrow(key, 6), _narrow(own, 5)])
+    head = np.array([0, len(doc), len(used), own_bytes], "<u4").tobytes()
+    parts = (_planes(np.diff(ids[used], prepend=0)), texts[used].astype("<i4").tobytes(), _planes(np.diff(local, prepend=0))[: 4 * len(doc)], _planes(np.diff(start, prepend=0)), (count | probe << 7).astype(np.uint8).tobytes())
+    return b"".join([head, *parts, _narrow(key, 6), _narrow(own, own_bytes)])
 
 
 def unpack_runs(data: bytes) -> tuple[np.ndarray, ...]:
     """ids, texts, start, count, key, own, probe."""
-    _, n, m = np.frombuffer(data, "<u4", 3)
-    view, at = memoryview(data), 12
+    _, n, m, own_bytes = map(int, np.frombuffer(data, "<u4", 4))
+    view, at = memoryview(data), 16
 
     def take(size):
         nonlocal at
-        at += int(size)
-        return view[at - int(size) : at]
+        at += size
+        return view[at - size : at]
 
-    n, m = int(n), int(m)
-    ids, texts = np.frombuffer(take(8 * m), "<i8"), np.frombuffer(take(8 * m), "<i8")
-    doc = np.frombuffer(take(4 * n), "<u4")
-    step = np.frombuffer(take(8 * n), np.uint8).reshape(8, n).T.copy().view("<i8").ravel()
+    ids = np.cumsum(_from_planes(take(8 * m), m))
+    texts = np.frombuffer(take(4 * m), "<i4").astype(np.int64)
+    doc = np.cumsum(np.frombuffer(take(4 * n), np.uint8).reshape(4, n).T.copy().view("<i4").ravel())
+    start = np.cumsum(_from_planes(take(8 * n), n))
     count = np.frombuffer(take(n), np.uint8)
-    key, own = _wide(take(6 * n), 6, n), _wide(take(5 * n), 5, n)
-    return ids[doc], texts[doc], np.cumsum(step), count & 127, key, own, count >> 7
+    key, own = _wide(take(6 * n), 6, n), _wide(take(own_bytes * n), own_bytes, n)
+    return ids[doc], texts[doc], start, count & 127, key, own, count >> 7
 
 
 def pack_marks(ids, texts, a, b, kind: int) -> bytes:
@@ -292,8 +301,13 @@ def settled(blobs: DataFrame) -> DataFrame:
     return blobs.groupBy("bucket").applyInArrow(run, MARKS)
 
 
+def text_id(text):
+    """32 bits that tell texts with one doc_id apart."""
+    return F.shiftright(text_key(text), 32)
+
+
 def bodies(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_id"), utf8(F.col("text")).alias("body"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_id(F.col("text")).alias("text_id"), utf8(F.col("text")).alias("body"))
 
 
 def anchors(docs: DataFrame, buckets: int) -> DataFrame:
@@ -357,7 +371,7 @@ def windows(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        recs, n, tag = Records(buckets), 0, TaskContext.get().partitionId()
+        recs, n, tag = Records(buckets, 2), 0, TaskContext.get().partitionId()
 
         def flush():
             out = list(recs.packed(tag))
@@ -375,7 +389,7 @@ def windows(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
                     here = at[(at >= lo) & (at < lo + SEGMENT)]
                     if len(here):
                         key = Strings(flat[lo : lo + SEGMENT + WIDTH]).hash(here - lo, here - lo + WIDTH)
-                        recs.add(np.full(len(here), doc), here, np.ones(len(here), np.int64), key, _mix(key + _C1))
+                        recs.add(np.full(len(here), doc), here, np.ones(len(here), np.int64), key, key << np.uint64(48))
                         n += len(here)
                 if n >= 1 << 20:
                     yield from flush()
@@ -389,7 +403,9 @@ def marks(docs: DataFrame) -> DataFrame:
     """Spans to remove: doc_id (LAST for null), text_id, a, b."""
     buckets = shuffle_partitions(docs.sparkSession)
     first = store(settled(anchors(docs, buckets)), "marks").df
+    release(docs.sparkSession)
     second = store(settled(windows(docs, first.filter("kind = 1").select("doc_id", "text_id", "a", "b"), buckets)), "edges").df
+    release(docs.sparkSession)
     return first.filter("kind = 0").unionByName(second.filter("kind = 0")).select("doc_id", "text_id", "a", "b")
 
 
@@ -411,7 +427,7 @@ def split_by_marks(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str
     lists = marks(docs).groupBy(F.col("doc_id").alias(names["mark_id"]), F.col("text_id").alias(names["mark_text"])).agg(F.collect_list(F.struct("a", "b")).alias(names["mark_spans"]))
     lists = store(lists, "spans").df
     keys = [names["mark_id"], names["mark_text"]]
-    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias(keys[0]), text_key(F.col("text")).alias(keys[1]))
+    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias(keys[0]), text_id(F.col("text")).alias(keys[1]))
     flagged = bitmap_filter(keyed, lists, keys, names["mark_hit"])
     clean = flagged.filter(~F.col(names["mark_hit"])).select(*docs.columns)
     return clean, flagged.filter(names["mark_hit"]).join(lists, keys, "left").select(*docs.columns, names["mark_spans"]), names

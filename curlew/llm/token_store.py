@@ -8,7 +8,7 @@ ids. Boundary i (the end of document i) is select1(i) - i shifted by l, or'ed wi
 executor's segment is written anew by whichever attempt commits.
 
 Nulls: a null text counts as empty and still gets its end id; a null doc_id sorts first. Rows that repeat a
-doc_id are kept, in order of their texts. An empty table gives an empty result. Columns other than doc_id
+doc_id are kept, in order of their texts' hashes. An empty table gives an empty result. Columns other than doc_id
 and text are not read.
 """
 
@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curlew.llm._common import Stored, shuffle_partitions, store, table
+from curlew.llm._common import Stored, shuffle_partitions, store, table, text_key
 from curlew.llm.tokens import encoder, vocabulary
 
 MAGIC = b"CRLWEF01"
@@ -120,12 +120,14 @@ class Segment:
 def write_segments(docs: DataFrame, tokenizer: str, end_id: int, id_bytes: int = 2, segment_ids: int = SEGMENT_IDS, partitions: int | None = None) -> Stored:
     """Rows (part, seq, part_start, n_ids, nulls, doc_ids, segment), in ascending doc_id order by (part, seq).
 
-    Documents are dealt by range of (doc_id, text), so no range has to fit one key. Memory of a task: one
+    Documents are dealt by range of (doc_id, text's hash), so no range has to fit one key. Memory of a task: one
     segment and one Arrow batch.
     """
     spark = docs.sparkSession
     n = partitions or shuffle_partitions(spark)
-    dealt = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(n, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    body = F.coalesce("text", F.lit(""))
+    # ranges are sampled from hashes: a sample of texts would be too large for the driver
+    dealt = docs.select("doc_id", text_key(body).alias("key"), body.alias("text")).repartitionByRange(n, "doc_id", "key").sortWithinPartitions("doc_id", "key").select("doc_id", "text")
 
     def run(batches):
         import pandas as pd
@@ -142,8 +144,8 @@ def write_segments(docs: DataFrame, tokenizer: str, end_id: int, id_bytes: int =
             return pd.DataFrame(row)
 
         for pdf in batches:
-            for lo in range(0, len(pdf), 256):
-                chunk = pdf.iloc[lo : lo + 256]
+            for lo in range(0, len(pdf), 500):
+                chunk = pdf.iloc[lo : lo + 500]
                 for doc, raw in zip(chunk["doc_id"], enc.encode(chunk["text"].tolist()), strict=True):
                     ids = np.concatenate((np.frombuffer(raw, "<u4"), end))
                     if held and at - before + len(ids) > segment_ids:

@@ -1,0 +1,668 @@
+"""Queries of the curation operators by key, with their SQL where it can say them."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from curlew.functions.paths import first_present, missing
+from curlew.functions.text import chunk, extract_page, shingles_of, strip, strip_tags, structure, text_hash, tokens
+from curlew.operators import audit, coverage, dedup, export, split, validate, visibility
+from curlew.operators.augment import variant_axes
+from curlew.operators.normalize import infer_status, messages, normalize, origin, record_ids, record_text, seeds, tag_list
+from curlew.operators.sanitize import clean, flags, sanitize
+from curlew.plans.plan import Plan
+from curlew.queries.derived import REC, read, records, trimmed
+from curlew.sources.store import flatten, unflatten
+from curlew.sources.web import collect_pages
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+BODY, TEXT = "response.text", F.col
+WS = r"[\s\x0b\x1c-\x1f]"
+
+
+def query(name: str, sql: str | None = None):
+    def register(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return register
+
+
+def body():
+    return F.col(BODY)
+
+
+# --- normalisation ----------------------------------------------------------------------------------------
+
+
+@query("N1_alias_pick", "SELECT doc_id, coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END, ''), nullif(source, ''), 'none') AS picked FROM documents")
+def n1(spark, sf):
+    d = read(spark, sf, "documents")
+    return d.select("doc_id", F.coalesce(first_present([F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang")), F.col("source")]), F.lit("none")).alias("picked"))
+
+
+def _raw(d: DataFrame) -> DataFrame:
+    k = F.col("doc_id") % 3
+    flat = F.to_json(F.struct(F.col("lang").alias("prompt"), F.col("source").alias("input"), F.col("text").alias("completion"), F.lit("easy").alias("level")))
+    pair = F.to_json(F.struct(F.col("lang").alias("question"), F.col("text").alias("chosen"), F.col("source").alias("rejected")))
+    nested = F.to_json(F.struct(F.col("lang").alias("instruction"), F.struct(F.lit("single").alias("format"), F.col("text").alias("text")).alias("response")))
+    return d.select(F.when(k == 0, flat).when(k == 1, pair).otherwise(nested).alias("raw"), F.col("doc_id").alias("seq"))
+
+
+@query("N2_N4_shape_dispatch", f"""
+SELECT doc_id AS seq, CASE WHEN doc_id % 3 = 1 THEN 'dpo' ELSE 'sft' END AS task_type, lang AS instruction, CASE WHEN doc_id % 3 = 0 THEN source ELSE '' END AS context,
+  CASE WHEN doc_id % 3 = 1 THEN 'preference_pair' ELSE 'single' END AS format, md5(CASE WHEN doc_id % 3 = 2 THEN text ELSE {trimmed("text")} END) AS answer,
+  CASE WHEN doc_id % 3 = 1 THEN source END AS rejected, CASE WHEN doc_id % 3 = 0 THEN 'easy' ELSE 'unspecified' END AS difficulty, 'general' AS persona, 'unknown' AS source_origin
+FROM documents""")
+def n2(spark, sf):
+    r = normalize(_raw(read(spark, sf, "documents")))
+    meta = lambda k: F.get_json_object("metadata", f"$.{k}").alias(k)
+    return r.select("seq", "task_type", "instruction", "context", "response.format", F.md5(F.coalesce("response.text", "response.chosen")).alias("answer"), "response.rejected", meta("difficulty"), meta("persona"), meta("source_origin"))
+
+
+@query("N3_messages", f"""
+WITH t AS (SELECT conv_id, list({{'t': turn, 'r': role, 'c': text}} ORDER BY turn, role, text) AS a FROM conversations GROUP BY conv_id),
+p AS (SELECT conv_id, list_filter(a, lambda x: x.r = 'user') AS u, list_filter(a, lambda x: x.r = 'assistant') AS s, list_filter(a, lambda x: x.r = 'system') AS y,
+  list_filter(a, lambda x: x.r NOT IN ('user', 'assistant', 'system')) AS o FROM t)
+SELECT conv_id, md5({trimmed("coalesce(u[-1].c, '')")}) AS instruction, md5({trimmed("coalesce(s[-1].c, '')")}) AS response,
+  len(y) + len(o) + greatest(len(u) - 1, 0) + greatest(len(s) - 1, 0) AS n_context,
+  md5({trimmed('''array_to_string(list_concat(list_concat(list_transform(y, lambda x: ''' + trimmed("x.c") + '''), list_transform(o, lambda x: x.r || ': ' || ''' + trimmed("x.c") + ''')),
+    list_concat(list_transform(u[:-2], lambda x: 'user: ' || x.c), list_transform(s[:-2], lambda x: 'assistant: ' || x.c))), chr(10))''')}) AS context
+FROM p""")
+def n3(spark, sf):
+    c = read(spark, sf, "conversations")
+    turns = F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
+    g = c.groupBy("conv_id").agg(turns.alias("turns")).select("conv_id", "turns", messages(F.col("turns")).alias("m"))
+    count = lambda role: F.size(F.filter("turns", lambda t: t["role"] == role))
+    earlier = F.greatest(count("user") - 1, F.lit(0)) + F.greatest(count("assistant") - 1, F.lit(0))
+    others = F.size(F.filter("turns", lambda t: ~t["role"].isin("user", "assistant")))
+    return g.select("conv_id", F.md5("m.instruction").alias("instruction"), F.md5("m.text").alias("response"), (others + earlier).cast("long").alias("n_context"), F.md5("m.context").alias("context"))
+
+
+@query("N5_tags", "SELECT doc_id, list_filter(list_transform(string_split(lang || ', ' || source || ' ,,x', ','), lambda t: trim(t)), lambda t: t <> '')[2] AS second, len(list_filter(list_transform(string_split(lang || ', ' || source || ' ,,x', ','), lambda t: trim(t)), lambda t: t <> '')) AS n FROM documents")
+def n5(spark, sf):
+    t = tag_list(F.concat("lang", F.lit(", "), "source", F.lit(" ,,x")))
+    return read(spark, sf, "documents").select("doc_id", F.get(t, F.lit(1)).alias("second"), F.size(t).cast("long").alias("n"))
+
+
+@query("N6_origin", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'real_world' WHEN 1 THEN 'synthetic' ELSE 'unknown' END AS origin FROM documents")
+def n6(spark, sf):
+    kind = F.element_at(F.array(F.lit("url_reference"), F.lit("generated"), F.lit("manual")), (F.col("doc_id") % 3 + 1).cast("int"))
+    return read(spark, sf, "documents").select("doc_id", origin(kind).alias("origin"))
+
+
+@query("N7_content_id", """SELECT doc_id, 'rec_' || substring(sha256('{"context": "' || source || '", "instruction": "' || lang || '", "response": {"format": "single", "text": "' || doc_id || '"}, "task_type": "sft"}'), 1, 16) AS id FROM documents""")
+def n7(spark, sf):
+    none = F.lit(None).cast("string")
+    r = F.struct(F.lit("single").alias("format"), F.col("doc_id").cast("string").alias("text"), none.alias("chosen"), none.alias("rejected"))
+    return read(spark, sf, "documents").select("doc_id", record_ids(F.lit("sft"), F.col("lang"), F.col("source"), r).alias("id"))
+
+
+@query("N9_record_text", f"WITH {REC} SELECT seq, sha256({trimmed('instruction || chr(10) || context || chr(10) || body')}) AS h FROM rec")
+def n9(spark, sf):
+    return records(spark, sf).select("seq", text_hash(record_text()).alias("h"))
+
+
+@query("N10_status", f"WITH {REC} SELECT seq, CASE WHEN starts_with(body, '[PENDING_') THEN 'seeded' ELSE 'raw_generated' END AS status FROM rec")
+def n10(spark, sf):
+    return records(spark, sf).select("seq", infer_status(F.col("response")).alias("status"))
+
+
+@query("S7_seeds", "SELECT i AS seq, 'Create dataset example ' || i || ' for topic: rivers' AS instruction, 'seeded' AS status, '[PENDING_RESPONSE]' AS body FROM range(1, 501) t(i)")
+def s7(spark, sf):
+    return seeds(spark, "rivers").select("seq", "instruction", "status", F.col(BODY).alias("body"))
+
+
+@query("S5_by_status", f"WITH {REC} SELECT seq, id FROM rec WHERE doc_id % 3 = 0")
+def s5(spark, sf):
+    r = records(spark, sf).withColumn("status", F.when(F.col("seq") % 3 == 0, "verified_pass").otherwise("raw_generated"))
+    return r.filter(F.col("status").isin("verified_pass")).orderBy("seq").select("seq", "id")
+
+
+@query("S6_latest_runs", "SELECT doc_id AS run FROM documents ORDER BY n_chars DESC, doc_id LIMIT 10")
+def s6(spark, sf):
+    return read(spark, sf, "documents").orderBy(F.desc("n_chars"), "doc_id").limit(10).select(F.col("doc_id").alias("run"))
+
+
+@query("K4_upsert", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'new' ELSE 'old' END AS status, 'first' AS created FROM documents")
+def k4(spark, sf):
+    d = read(spark, sf, "documents")
+    old = d.select("doc_id", F.lit("old").alias("status"), F.lit("first").alias("created"))
+    new = d.filter("doc_id % 2 = 0").select("doc_id", F.lit("new").alias("status"))
+    kept = old.join(new.select("doc_id"), "doc_id", "left_anti")
+    return kept.unionByName(new.join(old.select("doc_id", "created"), "doc_id", "left"))
+
+
+@query("K11_flatten", f"WITH {REC} SELECT seq, 'single' AS response_format, md5(body) AS response_text, md5(body) AS back FROM rec")
+def k11(spark, sf):
+    f = flatten(records(spark, sf).select("seq", "response", "metadata"))
+    return unflatten(f).join(f.select("seq", "response_format", "response_text"), "seq").select("seq", "response_format", F.md5("response_text").alias("response_text"), F.md5(BODY).alias("back"))
+
+
+# --- text -------------------------------------------------------------------------------------------------
+
+
+@query("T1_page_text")
+def t1(spark, sf):
+    return read(spark, sf, "pages").select("page_id", extract_page(F.col("html"), F.col("url")).alias("p")).select("page_id", "p.title", F.length("p.text").cast("long").alias("n_chars"), F.md5("p.text").alias("h"))
+
+
+@query("T1_strip_tags", r"""SELECT page_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'), '<[^>]+>', ' ', 'g'),
+ '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g'))) AS h FROM pages""")
+def t1n(spark, sf):
+    return read(spark, sf, "pages").select("page_id", F.md5(strip_tags(F.col("html"))).alias("h"))
+
+
+@query("T2_chunks")
+def t2(spark, sf):
+    d = read(spark, sf, "documents")
+    return d.select("doc_id", F.posexplode(chunk(F.col("text"), 3000, 200)).alias("chunk_index", "chunk")).select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.length("chunk").cast("long").alias("n_chars"), F.md5("chunk").alias("h"))
+
+
+@query("N11_collected")
+def n11(spark, sf):
+    return collect_pages(read(spark, sf, "pages")).select("id", "source_uri", "status", F.col("chunk_index").cast("long").alias("chunk_index"), F.length(BODY).cast("long").alias("n_chars"))
+
+
+@query("T3_tokens", "SELECT doc_id, len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS n FROM documents")
+def t3(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", F.size(tokens(F.col("text"))).cast("long").alias("n"))
+
+
+_GRAMS = "CASE WHEN len(w) = 0 THEN 0 WHEN len(w) < 3 THEN 1 ELSE len(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2]))) END"
+
+
+@query("T4_shingles", f"WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents) SELECT doc_id, {_GRAMS} AS n FROM t")
+def t4(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", tokens(F.col("text")).alias("w")).select("doc_id", F.size(shingles_of(F.col("w"))).cast("long").alias("n"))
+
+
+@query("T5_hash", "SELECT sha256(text) AS h, count(*) AS n FROM documents GROUP BY 1")
+def t5(spark, sf):
+    return read(spark, sf, "documents").groupBy(text_hash(F.col("text")).alias("h")).agg(F.count("*").alias("n"))
+
+
+# --- sanitisation, validation -----------------------------------------------------------------------------
+
+_CLEAN = r"regexp_replace(regexp_replace(body, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g'), '\r\n?', chr(10), 'g')"
+
+
+@query("X1_clean", f"WITH {REC} SELECT seq, md5({_CLEAN}) AS h, {_CLEAN} <> body AS changed FROM rec")
+def x1(spark, sf):
+    return records(spark, sf).select("seq", F.md5(clean(body())).alias("h"), (clean(body()) != body()).alias("changed"))
+
+
+@query("X2_flags", f"WITH {REC} SELECT seq, CASE WHEN regexp_matches(body, '(?is)\\b(ignore|disregard|forget)\\b.{{0,80}}\\b(previous|prior|above|earlier|system)\\b') THEN 'response.text:ignore_previous_instructions' ELSE '' END AS flags FROM rec")
+def x2(spark, sf):
+    return records(spark, sf).select("seq", F.array_join(flags(body(), "response.text"), ",").alias("flags"))
+
+
+@query("X3_sanitize", f"""WITH {REC} SELECT seq, source_type = 'raw_dataset' AS untrusted, coalesce(doc_id % 50 = 4, false) AS applied,
+  CASE WHEN source_type = 'raw_dataset' AND doc_id % 50 = 1 THEN 1 ELSE 0 END AS n_flags FROM rec""")
+def x3(spark, sf):
+    m = lambda k: F.get_json_object("metadata", f"$.{k}")
+    s = sanitize(records(spark, sf))
+    return s.select("seq", (F.coalesce(m("untrusted_ingestion"), F.lit("")) == "true").alias("untrusted"), (F.coalesce(m("sanitization_applied"), F.lit("")) == "true").alias("applied"), F.coalesce(F.size(F.from_json(m("security_flags"), "array<string>")), F.lit(0)).alias("n_flags"))
+
+
+_S = trimmed("body")
+_ERRORS = f"""list_sort(list_distinct(list_filter([
+  CASE WHEN length({trimmed("instruction")}) = 0 THEN 'instruction must be a non-empty string' END,
+  CASE WHEN {_S} = '' THEN 'response.text must be a non-empty string' END,
+  CASE WHEN length({trimmed("instruction")}) < 12 THEN 'instruction is too short for a stable training example' END,
+  CASE WHEN rewrite_required THEN 'record is a metadata-only variant and must be rewritten before verification' END,
+  CASE WHEN length({_S}) < 12 THEN 'response is too short for a stable training example' END,
+  CASE WHEN regexp_matches(body, '(?i)\\[PENDING_[A-Z_]+\\]') THEN 'response still contains pending placeholder markers' END,
+  CASE WHEN regexp_matches(body, '(?i)\\bi cannot\\b') THEN 'response matched refusal pattern: \\bi cannot\\b' END,
+  CASE WHEN NOT has_ref THEN 'required field missing: metadata.reference' END,
+  CASE WHEN source_origin = 'real_world' AND NOT has_ref THEN 'real-world record is missing traceable provenance reference fields: metadata.reference' END
+], lambda x: x IS NOT NULL)))"""
+PLAN = Plan({"required_metadata_fields": ["reference"], "provenance": {"field": "metadata.source_origin", "reference_fields": ["metadata.reference"], "blocking": True}})
+
+
+@query("V6_V12_errors", f"WITH {REC} SELECT seq, array_to_string({_ERRORS}, '; ') AS errors FROM rec")
+def v12(spark, sf):
+    r = records(spark, sf)
+    return r.select("seq", F.array_join(validate.heuristic_errors(r, PLAN), "; ").alias("errors"))
+
+
+@query("V2_schema_errors", f"WITH {REC} SELECT seq, CASE WHEN {_S} = '' THEN 'response.text must be a non-empty string' ELSE '' END AS errors FROM rec")
+def v2(spark, sf):
+    r = records(spark, sf)
+    return r.select("seq", F.array_join(validate.schema_errors(r), "; ").alias("errors"))
+
+
+@query("V4_split_valid", f"WITH {REC} SELECT count(*) FILTER ({_S} <> '') AS valid, count(*) FILTER ({_S} = '') AS rejected FROM rec")
+def v4(spark, sf):
+    good, bad = validate.split_valid(records(spark, sf))
+    return good.agg(F.count("*").alias("valid")).join(F.broadcast(bad.agg(F.count("*").alias("rejected"))))
+
+
+@query("V7_placeholder", f"WITH {REC} SELECT seq FROM rec WHERE regexp_matches(body, '(?i)\\[PENDING_[A-Z_]+\\]')")
+def v7(spark, sf):
+    return records(spark, sf).filter(body().rlike(validate.PLACEHOLDER)).select("seq")
+
+
+@query("V8_refusal", f"WITH {REC} SELECT seq, 'response matched refusal pattern: \\bi cannot\\b' AS refusal FROM rec WHERE regexp_matches(body, '(?i)\\bi cannot\\b')")
+def v8(spark, sf):
+    return records(spark, sf).select("seq", validate.refusal(body()).alias("refusal")).filter("refusal IS NOT NULL")
+
+
+def reviews(spark, sf) -> DataFrame:
+    lab = read(spark, sf, "labels")
+    one = lambda q, n: lab.filter(q).select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("id"), F.when(F.col("quality") == 1, "5").otherwise("2").alias("score"), F.lit(f"r{n}").alias("reason"), F.when(F.col("quality") == 1, " PASS ").otherwise("fail").alias("status"), F.lit(n).cast("long").alias("seq"))
+    # some ids are reviewed twice; the later review counts
+    return one("true", 1).union(one("doc_id % 5 = 0", 2))
+
+
+_REV = "rv AS (SELECT 'doc_' || doc_id AS id, max(quality) AS q, CASE WHEN doc_id % 5 = 0 THEN 'r2' ELSE 'r1' END AS reason FROM labels GROUP BY doc_id)"
+
+
+@query("S14_latest_review", f"WITH {_REV} SELECT id, CASE WHEN q = 1 THEN '5' ELSE '2' END AS score, reason FROM rv")
+def s14(spark, sf):
+    return validate.latest_reviews(reviews(spark, sf)).select("id", "score", "reason")
+
+
+@query("V13_review_join", f"""WITH {REC}, {_REV}, e AS (SELECT rec.*, len({_ERRORS.replace("CASE WHEN NOT has_ref THEN 'required field missing: metadata.reference' END,", "").replace("CASE WHEN source_origin = 'real_world' AND NOT has_ref THEN 'real-world record is missing traceable provenance reference fields: metadata.reference' END", "NULL")}) > 0 AS bad FROM rec)
+SELECT seq, CASE WHEN bad THEN 'verified_fail' WHEN q IS NULL THEN 'judge_pending' WHEN q = 1 THEN 'verified_pass' ELSE 'verified_fail' END AS status,
+  CASE WHEN bad THEN 'fail' WHEN q IS NULL THEN 'pending' WHEN q = 1 THEN 'pass' ELSE 'fail' END AS pipeline_status,
+  CASE WHEN NOT bad AND q IS NOT NULL THEN CASE WHEN q = 1 THEN 5 ELSE 2 END END AS judge_score FROM e LEFT JOIN rv USING (id)""")
+def v13(spark, sf):
+    return validate.verify(records(spark, sf), None, reviews(spark, sf)).select("seq", "status", "pipeline_status", "judge_score")
+
+
+@query("V14_missing", f"WITH {REC} SELECT seq, NOT has_ref AS no_reference, {_S} = '' AS no_text FROM rec")
+def v14(spark, sf):
+    r = records(spark, sf)
+    return r.select("seq", missing(r, "metadata.reference").alias("no_reference"), missing(r, "response.text").alias("no_text"))
+
+
+@query("A19_run_summary", f"WITH {REC}, x AS (SELECT len({_ERRORS}) > 0 AS bad FROM rec) SELECT count(*) AS processed, 0 AS n_pass, count(*) FILTER (bad) AS n_fail, count(*) FILTER (NOT bad) AS n_pending FROM x")
+def a19(spark, sf):
+    return validate.summary(validate.verify(records(spark, sf), PLAN))
+
+
+# --- duplicates -------------------------------------------------------------------------------------------
+
+_SETS = """t AS MATERIALIZED (SELECT doc_id, sha256(text) AS h, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, h, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])) END AS sh FROM t),
+f AS MATERIALIZED (SELECT min(doc_id) AS seq, any_value(sh) AS sh FROM s GROUP BY h),
+g AS MATERIALIZED (SELECT seq, len(sh) AS n, unnest(sh) AS x FROM f),
+p AS MATERIALIZED (SELECT a.seq AS a, b.seq AS b, count(*) AS i, any_value(a.n) + any_value(b.n) - count(*) AS u FROM g a JOIN g b ON a.x = b.x AND a.seq < b.seq GROUP BY 1, 2),
+q AS MATERIALIZED (SELECT a, b, i, u FROM p WHERE i >= 0.85 * u - 1e-12)"""
+_GREEDY = _SETS + """,
+o AS MATERIALIZED (SELECT b, list(a) AS prev, row_number() OVER (ORDER BY b) AS k FROM q GROUP BY b),
+r AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS dropped UNION ALL
+  SELECT o.k, CASE WHEN len(list_filter(o.prev, lambda x: NOT list_contains(r.dropped, x))) > 0 THEN list_append(r.dropped, o.b) ELSE r.dropped END FROM r JOIN o ON o.k = r.k + 1),
+gone AS MATERIALIZED (SELECT unnest(dropped) AS b FROM (SELECT dropped FROM r ORDER BY k DESC LIMIT 1)),
+best AS MATERIALIZED (SELECT b, arg_max(a, {'s': i / u, 'm': -a}) AS kept, max(i / u) AS score FROM q WHERE b IN (SELECT b FROM gone) AND a NOT IN (SELECT b FROM gone) GROUP BY b),
+dup AS MATERIALIZED (SELECT s.doc_id, coalesce(best.kept, first.seq) AS kept, CASE WHEN best.b IS NULL THEN 'exact' ELSE 'near' END AS reason
+  FROM s JOIN (SELECT h, min(doc_id) AS seq FROM s GROUP BY h) first USING (h) LEFT JOIN best ON best.b = first.seq WHERE best.b IS NOT NULL OR s.doc_id > first.seq)"""
+
+
+def plain(spark, sf) -> DataFrame:
+    return read(spark, sf, "documents").select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("id"), F.col("doc_id").alias("seq"), "text", "lang", "source", "n_chars")
+
+
+@query("D1_exact", "SELECT doc_id AS seq, m AS kept FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY sha256(text)) AS m FROM documents) x WHERE doc_id > m")
+def d1(spark, sf):
+    d = plain(spark, sf).withColumn("h", text_hash(F.col("text")))
+    first = d.groupBy("h").agg(F.min("seq").alias("kept"))
+    return d.join(first, "h").filter("seq > kept").select("seq", "kept")
+
+
+@query("D2_similar_pairs", f"WITH {_SETS} SELECT a, b, i AS n_inter, u AS n_union FROM q")
+def d2(spark, sf):
+    first = dedup.shingled(plain(spark, sf), F.col("text")).groupBy("hash").agg(F.min("seq").alias("seq"), F.min_by("sh", "seq").alias("sh"))
+    return dedup.similar_pairs(first, 0.85).select("a", "b", F.col("inter").cast("long").alias("n_inter"), F.col("uni").cast("long").alias("n_union"))
+
+
+@query("D3_greedy_keep_first", f"WITH RECURSIVE {_GREEDY} SELECT 'doc_' || doc_id AS duplicate_id, 'doc_' || kept AS kept_id, reason FROM dup")
+def d3(spark, sf):
+    return dedup.find_duplicates(plain(spark, sf), F.col("text")).select("duplicate_id", "kept_id", "reason")
+
+
+@query("D4_import_dedup", f"WITH RECURSIVE {_GREEDY} SELECT 'doc_' || doc_id AS duplicate_id, reason FROM dup WHERE doc_id % 2 = 1 OR doc_id % 2 = 0 AND false")
+def d4(spark, sf):
+    # the batch holds odd ids; stored and new records keep their order by doc_id
+    d = plain(spark, sf)
+    found = dedup.find_duplicates(d, F.col("text"))
+    return found.join(d.filter("seq % 2 = 1").select(F.col("id").alias("duplicate_id")), "duplicate_id", "left_semi").select("duplicate_id", "reason")
+
+
+@query("D5_dedup_pass", f"WITH RECURSIVE {_GREEDY} SELECT d.doc_id AS seq, CASE WHEN dup.doc_id IS NULL THEN 'verified_pass' ELSE 'deduped' END AS status, 'Duplicate of doc_' || dup.kept || ' (' || dup.reason || ')' AS error_message FROM documents d LEFT JOIN dup USING (doc_id)")
+def d5(spark, sf):
+    d = plain(spark, sf).select("id", "seq", "text", F.lit("verified_pass").alias("status"), F.lit("pass").alias("pipeline_status"), F.lit(None).cast("string").alias("error_message"))
+    return dedup.deduplicate(d, F.col("text")).select("seq", "status", "error_message")
+
+
+@query("D7_representative", "SELECT md5(text) AS cluster, 'doc_' || arg_max(doc_id, {'s': coalesce(q, -1), 'l': length(coalesce(source, '')), 'm': -doc_id}) AS id FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY 1) l USING (doc_id) GROUP BY 1")
+def d7(spark, sf):
+    q = read(spark, sf, "labels").groupBy(F.col("doc_id").alias("seq")).agg(F.max("quality").alias("judge_score"))
+    d = plain(spark, sf).join(q, "seq", "left").select(F.md5("text").alias("cluster"), "id", "judge_score", F.col("source").alias("context"), "seq")
+    return dedup.representatives(d)
+
+
+@query("D8_minhash")
+def d8(spark, sf):
+    return dedup.minhash_pairs(plain(spark, sf), F.col("text"))
+
+
+# --- coverage ---------------------------------------------------------------------------------------------
+
+_EFF = f"WITH RECURSIVE {_GREEDY}, {REC}, eff AS MATERIALIZED (SELECT * FROM rec WHERE doc_id NOT IN (SELECT doc_id FROM dup))"
+
+
+def effective(spark, sf) -> DataFrame:
+    return dedup.effective(records(spark, sf), F.col("raw_text"))
+
+
+@query("A1_effective", f"{_EFF} SELECT (SELECT count(*) FROM rec) AS n, count(*) AS n_effective FROM eff")
+def a1(spark, sf):
+    return records(spark, sf).agg(F.count("*").alias("n")).join(F.broadcast(effective(spark, sf).agg(F.count("*").alias("n_effective"))))
+
+
+FIELDS = ["metadata.difficulty", "metadata.persona", "metadata.subtopic", "metadata.source_origin", "metadata.topic", "task_type"]
+
+
+@query("A3_histograms", f"""WITH {REC} SELECT field, value, count(*) AS n FROM (
+ SELECT unnest([{{'f': 'metadata.difficulty', 'v': difficulty}}, {{'f': 'metadata.persona', 'v': coalesce(lang, '__missing__')}}, {{'f': 'metadata.subtopic', 'v': coalesce(source, '__missing__')}}, {{'f': 'metadata.source_origin', 'v': source_origin}}, {{'f': 'metadata.topic', 'v': '__missing__'}}, {{'f': 'task_type', 'v': 'sft'}}]) AS x FROM rec) y, LATERAL (SELECT x.f AS field, x.v AS value) z GROUP BY 1, 2""")
+def a3(spark, sf):
+    return coverage.histograms(records(spark, sf), FIELDS)
+
+
+_RULES = {"group_minimums": {"metadata.difficulty": {"easy": 100_000, "medium": 1, "extreme": 7}, "metadata.persona": {"en": 100_000}}, "max_share_per_group": {"metadata.difficulty": 0.3, "metadata.persona": 0.2}}
+
+
+@query("A4_underrepresented", f"""WITH {REC}, m(field, value, minimum) AS (VALUES ('metadata.difficulty', 'easy', 100000), ('metadata.difficulty', 'medium', 1), ('metadata.difficulty', 'extreme', 7), ('metadata.persona', 'en', 100000)),
+c AS (SELECT 'metadata.difficulty' AS field, difficulty AS value, count(*) AS n FROM rec GROUP BY 2 UNION ALL SELECT 'metadata.persona', lang, count(*) FROM rec GROUP BY 2)
+SELECT field, value, coalesce(n, 0) AS n, minimum, minimum - coalesce(n, 0) AS gap FROM m LEFT JOIN c USING (field, value) WHERE minimum > coalesce(n, 0)""")
+def a4(spark, sf):
+    return coverage.underrepresented(coverage.histograms(records(spark, sf), ["metadata.difficulty", "metadata.persona"]), Plan(_RULES))
+
+
+@query("A5_mode_collapse", f"""WITH {REC}, c AS (SELECT 'metadata.difficulty' AS field, difficulty AS value, count(*) AS n FROM rec GROUP BY 2 UNION ALL SELECT 'metadata.persona', lang, count(*) FROM rec GROUP BY 2), t AS (SELECT count(*) AS total FROM rec)
+SELECT field, value, n FROM c, t WHERE n / total > CASE field WHEN 'metadata.difficulty' THEN 0.3 ELSE 0.2 END""")
+def a5(spark, sf):
+    r = records(spark, sf)
+    return coverage.mode_collapse(coverage.histograms(r, ["metadata.difficulty", "metadata.persona"]), r.count(), Plan(_RULES)).select("field", "value", "n")
+
+
+@query("A6_missing", f"WITH {REC} SELECT 'metadata.reference' AS field, count(*) FILTER (NOT has_ref) AS n_missing, count(*) AS total FROM rec UNION ALL SELECT 'metadata.topic', count(*), count(*) FROM rec")
+def a6(spark, sf):
+    return coverage.missing_fields(records(spark, sf), ["metadata.reference", "metadata.topic", "metadata.difficulty"])
+
+
+@query("A7_joint", f"WITH {REC} SELECT difficulty || '::' || lang || '::' || source_origin AS bucket, count(*) AS n FROM rec GROUP BY 1")
+def a7(spark, sf):
+    return coverage.joint_counts(records(spark, sf), ["metadata.difficulty", "metadata.persona", "metadata.source_origin"])
+
+
+@query("A8_A9_lengths", f"""WITH {REC}, l AS (SELECT length(body) AS len FROM rec), k AS (SELECT len, row_number() OVER (ORDER BY len) - 1 AS i, count(*) OVER () AS n FROM l)
+SELECT (SELECT count(*) FROM l) AS n, (SELECT floor(quantile_cont(len, 0.5))::BIGINT FROM l) AS median_chars, (SELECT len FROM k WHERE i = round_even((n - 1) * 0.9, 0)) AS p90_chars, (SELECT max(len) FROM l) AS max_chars, (SELECT count(*) FILTER (len > 4000) FROM l) AS n_over""")
+def a8(spark, sf):
+    r = coverage.length_stats(records(spark, sf), 4000)
+    return r.select("n", "median_chars", F.col("p90_chars").cast("long").alias("p90_chars"), F.col("max_chars").cast("long").alias("max_chars"), "n_over")
+
+
+@query("A10_A11_structures")
+def a10(spark, sf):
+    d = read(spark, sf, "documents")
+    made = F.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct("lang", F.array("n_chars", "doc_id").alias("xs")))).when(F.col("doc_id") % 3 == 1, F.lit("[1, true, null]")).otherwise(F.col("text"))
+    s = d.select(structure(made).alias("s"))
+    return s.groupBy("s.signature", "s.display").agg(F.count("*").alias("n"))
+
+
+@query("A12_prefixes", f"WITH {REC}, p AS (SELECT seq, lower(substring({trimmed(chr(39).join(['regexp_replace(body, ', WS + '+', ', ', ' ', ', ', 'g', ')']))}, 1, 48)) AS prefix FROM rec) SELECT prefix, count(*) AS n, min(seq) AS first_seq FROM p WHERE prefix <> '' GROUP BY 1 HAVING count(*) > 1")
+def a12(spark, sf):
+    return coverage.prefixes(records(spark, sf)).filter("n > 1").select("prefix", "n", "first_seq")
+
+
+@query("A13_provenance", f"WITH {REC} SELECT count(*) AS n, count(*) FILTER (source_origin = 'real_world') AS n_real, count(*) FILTER (source_origin = 'real_world' AND has_ref) AS n_traceable FROM rec")
+def a13(spark, sf):
+    return coverage.provenance(records(spark, sf), PLAN)
+
+
+@query("A18_distributions", f"WITH {REC} SELECT 'task_type' AS field, 'sft' AS value, count(*) AS n FROM rec UNION ALL SELECT 'source_type', source_type, count(*) FROM rec GROUP BY 2 UNION ALL SELECT 'metadata.difficulty', difficulty, count(*) FROM rec GROUP BY 2 UNION ALL SELECT 'metadata.persona', lang, count(*) FROM rec GROUP BY 2")
+def a18(spark, sf):
+    return coverage.distributions(records(spark, sf))
+
+
+# --- augment, split, export -------------------------------------------------------------------------------
+
+
+@query("G1_variants", f"WITH {REC} SELECT id, p AS persona, d AS difficulty FROM rec, (VALUES ('en'), ('expert')) a(p), (VALUES ('easy'), ('hard')) b(d) WHERE NOT (p = lang AND d = difficulty)")
+def g1(spark, sf):
+    return variant_axes(records(spark, sf), ("en", "expert"), ("easy", "hard")).select("id", "_axis.persona", "_axis.difficulty")
+
+
+@query("E1_cluster_key", f"WITH {REC} SELECT seq, source AS key FROM rec")
+def e1(spark, sf):
+    r = records(spark, sf)
+    return r.select("seq", split.cluster_key(r).alias("key"))
+
+
+@query("E1_word_key", "SELECT doc_id, array_to_string(regexp_extract_all(lower(substring(text, 1, 80)), '[\\p{L}\\p{N}_]+')[1:6], '_') AS key FROM documents")
+def e1w(spark, sf):
+    from curlew.functions.text import word_key
+
+    return read(spark, sf, "documents").select("doc_id", word_key(F.substring("text", 1, 80)).alias("key"))
+
+
+_SPLIT = f"""{REC}, c AS (SELECT source AS key, count(*) AS n, row_number() OVER (ORDER BY sha256(source || '42')) AS k FROM rec GROUP BY 1), tt AS (SELECT greatest(1, floor(count(*) * 0.2)) AS target FROM rec),
+w AS (SELECT 0::BIGINT AS k, 0::HUGEINT AS taken, ''::VARCHAR AS key, false AS used UNION ALL
+  SELECT c.k, CASE WHEN w.taken < target AND w.taken + c.n <= 1.5 * target THEN w.taken + c.n ELSE w.taken END, c.key, w.taken < target AND w.taken + c.n <= 1.5 * target FROM w JOIN c ON c.k = w.k + 1, tt)"""
+
+
+@query("E2_split", f"WITH RECURSIVE {_SPLIT} SELECT rec.id, CASE WHEN rec.source IN (SELECT key FROM w WHERE used) THEN 'test' ELSE 'train' END AS side FROM rec")
+def e2(spark, sf):
+    train, test = split.split(records(spark, sf), 0.2)
+    return train.select("id", F.lit("train").alias("side")).unionByName(test.select("id", F.lit("test").alias("side")))
+
+
+@query("E3_E4_chat", f"WITH {REC} SELECT seq, CASE WHEN {trimmed('context')} <> '' THEN 3 ELSE 2 END AS n, md5(instruction) AS asked, md5(body) AS answered FROM rec")
+def e3(spark, sf):
+    m = export.chat_messages()
+    return records(spark, sf).select("seq", m.alias("m")).select("seq", F.size("m").alias("n"), F.md5(F.get("m", F.size("m") - 2)["content"]).alias("asked"), F.md5(F.element_at("m", -1)["content"]).alias("answered"))
+
+
+@query("E5_flat", f"WITH {REC} SELECT instruction AS prompt, lang AS persona, '' AS nowhere, md5(body) AS answer FROM rec")
+def e5(spark, sf):
+    cols = [("prompt", "instruction"), ("persona", "metadata.persona"), ("nowhere", "metadata.no.such"), ("answer", "response.text")]
+    f = export.flat(records(spark, sf), {"name": "x", "mode": "flat", "columns": [{"name": a, "source": b} for a, b in cols]})
+    return f.withColumn("answer", F.md5("answer"))
+
+
+@query("E6_exportable", f"WITH {REC} SELECT seq FROM rec WHERE doc_id % 2 = 0 AND doc_id % 3 = 0")
+def e6(spark, sf):
+    r = records(spark, sf).withColumns({"status": F.when(F.col("seq") % 2 == 0, "verified_pass").otherwise("deduped"), "pipeline_status": F.when(F.col("seq") % 3 == 0, "pass").otherwise("fail")})
+    return export.exportable(r).select("seq")
+
+
+@query("E7_E11_visibility", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'keep [redacted] here' || chr(10) || chr(10) || 'end' ELSE 'keep alpha here' || chr(10) || chr(10) || 'end' END AS shown, true AS modified FROM documents""")
+def e7(spark, sf):
+    d = read(spark, sf, "documents")
+    even = F.col("doc_id") % 2 == 0
+    text = F.lit("Trace fingerprint: x\nkeep alpha here\n\n\nboth alpha and beta\nend")
+    answer = F.when(even, F.lit('{"verdict": "alpha", "sink": "beta", "reason": "end"}')).otherwise(F.lit('{"verdict": "none", "sink": "both", "kind": "beta"}'))
+    none = F.lit(None).cast("string")
+    r = d.select("doc_id", text.alias("instruction"), F.lit("").alias("context"), F.struct(F.lit("single").alias("format"), answer.alias("text"), none.alias("chosen"), none.alias("rejected")).alias("response"), F.lit("{}").alias("metadata"))
+    rules = {"model_visibility": {"instruction": {"remove_line_prefixes": ["trace fingerprint:"], "auto_remove_lines_with_response_fields": {"min_hits": 2}, "redact_field_values": ["response.verdict"]}}}
+    return visibility.apply(r, Plan(rules)).select("doc_id", F.col("instruction").alias("shown"), F.col("instruction_modified").alias("modified"))
+
+
+@query("E13_scalars")
+def e13(spark, sf):
+    d = read(spark, sf, "documents")
+    made = F.to_json(F.struct("lang", "source", F.struct("doc_id", F.upper("lang").alias("again")).alias("more")))
+    return d.select("doc_id", F.array_join(visibility.auto_values(made, ["none"]), "|").alias("values"))
+
+
+# --- audit ------------------------------------------------------------------------------------------------
+
+
+@query("Q1_duplicate_rate", f"{_EFF} SELECT ((SELECT count(*) FROM rec) - (SELECT count(*) FROM eff)) * 100 > (SELECT count(*) FROM rec) * 10 AS too_many")
+def q1(spark, sf):
+    return a1(spark, sf).select(audit.duplicate_rate(F.col("n"), F.col("n_effective")).alias("too_many"))
+
+
+@query("Q2_Q18_over_share", f"WITH {REC} SELECT 'difficulty' AS field, difficulty AS value, count(*) AS n, (SELECT count(*) FROM rec) AS total FROM rec GROUP BY 2 HAVING count(*) * 100 > (SELECT count(*) FROM rec) * 40")
+def q2(spark, sf):
+    return audit.over_share(records(spark, sf), F.get_json_object("metadata", "$.difficulty"), 40, "difficulty")
+
+
+@query("Q3_shared_keys", "SELECT DISTINCT source AS key FROM documents WHERE doc_id % 2 = 0 AND source IN (SELECT source FROM documents WHERE doc_id % 2 = 1)")
+def q3(spark, sf):
+    r = records(spark, sf)
+    return audit_shared(r.filter("seq % 2 = 0"), r.filter("seq % 2 = 1"))
+
+
+def audit_shared(a: DataFrame, b: DataFrame) -> DataFrame:
+    return split.shared_keys(a, b)
+
+
+@query("Q4_sparse", f"WITH {REC}, e(value) AS (VALUES ('easy'), ('medium'), ('hard'), ('extreme')), c AS (SELECT difficulty AS value, count(*) AS n FROM rec GROUP BY 1) SELECT value, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'zero' ELSE 'sparse' END AS finding FROM e LEFT JOIN c USING (value) WHERE coalesce(n, 0) < 3")
+def q4(spark, sf):
+    expected = spark.createDataFrame([(x,) for x in ("easy", "medium", "hard", "extreme")], "value string")
+    return audit.sparse_buckets(records(spark, sf), F.get_json_object("metadata", "$.difficulty"), expected)
+
+
+@query("Q5_context_leakage", """WITH w AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS a, regexp_extract_all(lower(substring(text, 1, 200)), '[a-z0-9]+') AS c FROM documents),
+df AS (SELECT x, count(*) AS n FROM (SELECT unnest(a) AS x FROM w) y GROUP BY 1 HAVING count(*) <= 2), p AS (SELECT doc_id, unnest(list_distinct(list_intersect(c, a))) AS x FROM w)
+SELECT 'doc_' || doc_id AS id, count(*) AS n FROM p JOIN df USING (x) GROUP BY doc_id HAVING count(*) > 2""")
+def q5(spark, sf):
+    d = plain(spark, sf).withColumn("context", F.substring("text", 1, 200))
+    return audit.context_leakage(d, F.col("context"), F.col("text"))
+
+
+@query("Q6_repeated_openings", """WITH r AS (SELECT source, doc_id, coalesce(regexp_extract_all(lower(text), '[a-z0-9]+')[1], '') AS opening FROM documents),
+i AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - row_number() OVER (PARTITION BY source, opening ORDER BY doc_id) AS k FROM r)
+SELECT source, opening, count(*) AS n, min(doc_id) AS first_seq FROM i GROUP BY source, opening, k HAVING count(*) > 1""")
+def q6(spark, sf):
+    return audit.repeated_openings(plain(spark, sf), audit.opening(F.col("text"), 1), 1)
+
+
+@query("Q7_quantity", "SELECT 'dpo' AS task, 0::BIGINT AS n, 200 AS minimum")
+def q7(spark, sf):
+    return audit.quantity(records(spark, sf), spark.createDataFrame([("sft", 10), ("dpo", 200)], "task string, minimum int"))
+
+
+@query("Q8_pair_cells", "WITH t AS (SELECT count(*) AS total FROM documents), c AS (SELECT 'lang x kind' AS axes, lang || '::' || CASE WHEN n_chars < 3000 THEN 's' ELSE 'l' END AS cell, count(*) AS n FROM documents GROUP BY 2) SELECT axes, cell, n, total FROM c, t WHERE n * 100 > total * 20")
+def q8(spark, sf):
+    d = plain(spark, sf).withColumn("kind", F.when(F.col("n_chars") < 3000, "s").otherwise("l"))
+    return audit.pair_cells(d, ["lang", "kind"], 20)
+
+
+@query("Q8_sortedness", "WITH x AS (SELECT source, n_chars, lag(n_chars) OVER (PARTITION BY source ORDER BY doc_id) AS b FROM documents) SELECT source, count(*) AS steps, count(*) FILTER (n_chars >= b) AS ascending FROM x WHERE b IS NOT NULL GROUP BY 1")
+def q8s(spark, sf):
+    return audit.unsorted_steps(plain(spark, sf), F.col("n_chars"))
+
+
+@query("Q9_lengths", "SELECT lang AS value, count(*) AS n, quantile_disc(length(text), 0.5)::BIGINT AS median_chars FROM documents GROUP BY 1")
+def q9(spark, sf):
+    return audit.lengths(plain(spark, sf), F.col("lang"), F.col("text"))
+
+
+@query("Q10_balance", "WITH t AS (SELECT count(*) AS total FROM labels) SELECT quality AS value, count(*) AS n, total, CASE WHEN count(*) * 100 > total * 75 THEN 'high' WHEN count(*) * 100 >= total * 60 THEN 'medium' ELSE 'ok' END AS severity FROM labels, t GROUP BY quality, total")
+def q10(spark, sf):
+    return audit.balance(read(spark, sf, "labels"), F.col("quality"))
+
+
+@query("Q11_fingerprint", """WITH s AS (SELECT doc_id, text, list_transform(list_filter(string_split_regex(text, '[.!?]+'), lambda x: trim(x) <> ''), lambda x: len(regexp_extract_all(lower(x), '[a-z0-9]+'))) AS z FROM documents)
+SELECT doc_id, (CASE WHEN len(z) >= 3 AND list_max(z) - list_min(z) <= 2 THEN 1 ELSE 0 END) + (CASE WHEN regexp_matches(text, '(?i)\\bin conclusion\\b') THEN 1 ELSE 0 END) + (CASE WHEN regexp_matches(text, '(?i)\\boverall\\b') THEN 1 ELSE 0 END)
+ + (CASE WHEN regexp_matches(text, '(?i)\\bit is important to note\\b') THEN 1 ELSE 0 END) + (CASE WHEN regexp_matches(text, '(?i)\\bdelve\\b') THEN 1 ELSE 0 END) + (CASE WHEN regexp_matches(text, '(?i)\\bfurthermore\\b') THEN 1 ELSE 0 END) AS markers FROM s""")
+def q11(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", audit.fingerprint(F.col("text")).alias("markers"))
+
+
+@query("Q12_grounding", f"WITH {REC} SELECT lang AS value, count(*) AS n, count(*) FILTER (has_ref) AS n_grounded, CASE WHEN count(*) FILTER (has_ref) * 100 < count(*) * 40 THEN 'medium' WHEN count(*) FILTER (has_ref) * 100 <= count(*) * 60 THEN 'low' ELSE 'ok' END AS severity FROM rec GROUP BY 1")
+def q12(spark, sf):
+    r = records(spark, sf)
+    return audit.grounding(r, ~missing(r, "metadata.reference"), F.col("lang"))
+
+
+@query("Q13_findings", f"WITH {REC}, s AS (SELECT difficulty FROM rec GROUP BY 1 HAVING count(*) * 100 > (SELECT count(*) FROM rec) * 40) SELECT 'difficulty' AS \"check\", CASE WHEN count(*) > 0 THEN 'high' ELSE 'pass' END AS severity, count(*) AS n FROM s UNION ALL SELECT 'quantity', 'medium', 1")
+def q13(spark, sf):
+    return audit.findings(("difficulty", "high", q2(spark, sf)), ("quantity", "medium", q7(spark, sf)))
+
+
+@query("Q14_under_share", "SELECT 'source' AS field, source AS value, count(*) AS n, (SELECT count(*) FROM documents) AS total FROM documents GROUP BY 2 HAVING count(*) * 100 < (SELECT count(*) FROM documents) * 5")
+def q14(spark, sf):
+    return audit.under_share(plain(spark, sf), F.col("source"), 5, "source")
+
+
+@query("Q15_low_variation", "WITH g AS (SELECT source AS value, count(*) AS n, sum(n_chars)::HUGEINT AS s1, sum(n_chars::HUGEINT * n_chars)::HUGEINT AS s2 FROM documents GROUP BY 1) SELECT value, n, s1::BIGINT AS total FROM g WHERE (n * s2 - s1 * s1) * 10000 < s1 * s1 * 22500")
+def q15(spark, sf):
+    return audit.low_variation(plain(spark, sf), F.col("source"), F.col("n_chars"), 150)
+
+
+@query("Q16_minimum_words", "SELECT 'doc_' || doc_id AS id, lang AS intent, len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS n_words FROM documents WHERE len(regexp_extract_all(lower(text), '[a-z0-9]+')) < CASE lang WHEN 'en' THEN 60 WHEN 'de' THEN 40 ELSE 30 END")
+def q16(spark, sf):
+    return audit.too_short(plain(spark, sf), F.col("text"), F.col("lang"), {"en": 60, "de": 40}, 30)
+
+
+@query("Q17_syntax", "SELECT doc_id, doc_id % 4 IN (0, 2) AS ok FROM documents")
+def q17(spark, sf):
+    k = (F.col("doc_id") % 4 + 1).cast("int")
+    text = F.element_at(F.array(F.lit("x = [1]"), F.lit("def f(:"), F.lit('{"a": 1}'), F.lit("{a:")), k)
+    kind = F.element_at(F.array(F.lit("python"), F.lit("python"), F.lit("json"), F.lit("json")), k)
+    return read(spark, sf, "documents").select("doc_id", audit.parses(text, kind).alias("ok"))
+
+
+@query("Q19_contamination", """WITH d AS (SELECT 'doc_' || doc_id AS id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents), b AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM benchmark),
+x AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 8 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i+7], ' ')) END) AS g FROM d),
+y AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 8 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i+7], ' ')) END) AS g FROM b)
+SELECT id, item_id, count(*) AS n_shared FROM x JOIN y USING (g) GROUP BY 1, 2""")
+def q19(spark, sf):
+    return audit.contaminated(plain(spark, sf), read(spark, sf, "benchmark"))
+
+
+@query("Q20_tropes", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'opening' WHEN 1 THEN 'closing' END AS trope FROM documents")
+def q20(spark, sf):
+    k = F.col("doc_id") % 3
+    return read(spark, sf, "documents").select("doc_id", audit.tropes(F.when(k == 0, "Sure, it is.").when(k == 1, "It is so. Hope this helps!").otherwise("It is.")).alias("trope"))
+
+
+@query("Q21_slots", "WITH g AS (SELECT * FROM (VALUES ('en'), ('de'), ('xx')) a(lang), (VALUES ('src0'), ('src1')) b(source)), c AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2) SELECT lang, source, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'empty' WHEN n >= 5 THEN 'low' ELSE 'open' END AS priority FROM g LEFT JOIN c USING (lang, source)")
+def q21(spark, sf):
+    return audit.slots(plain(spark, sf), {"lang": ["en", "de", "xx"], "source": ["src0", "src1"]})
+
+
+@query("Q22_verdict", "SELECT doc_id, CASE WHEN doc_id % 6 >= 4 THEN 'pass' WHEN doc_id % 6 = 3 AND lang = 'de' THEN 'pass' WHEN doc_id % 6 <= 2 THEN 'fail' ELSE 'rewrite' END AS verdict FROM documents")
+def q22(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", audit.verdict(F.col("doc_id") % 6, F.col("lang") == "de").alias("verdict"))
+
+
+@query("Q23_contradictions", """WITH r AS (SELECT doc_id, source, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents), k AS (SELECT doc_id, source, array_to_string(w[1:2], ' ') AS key, list_distinct(w) AS s FROM r WHERE len(w) > 0)
+SELECT a.doc_id AS a, b.doc_id AS b FROM k a JOIN k b ON a.source = b.source AND a.key = b.key AND a.doc_id < b.doc_id
+WHERE len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s))) >= 0.3 AND len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s))) < 0.85""")
+def q23(spark, sf):
+    return audit.contradiction_candidates(plain(spark, sf), F.col("source"), F.col("text"))
+
+
+@query("Q24_pairs", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'rejected is empty' WHEN 1 THEN 'rejected is a refusal' WHEN 2 THEN 'both are equal' ELSE '' END AS problems FROM documents")
+def q24(spark, sf):
+    k = F.col("doc_id") % 4
+    rejected = F.when(k == 0, " ").when(k == 1, "I cannot say.").when(k == 2, "It is two.").otherwise("It is three.")
+    return read(spark, sf, "documents").select("doc_id", F.array_join(audit.pair_problems(F.lit("It is two."), rejected), ",").alias("problems"))
+
+
+@query("Q25_bands", "WITH b(value, low, high) AS (VALUES ('en', 10, 20), ('de', 30, 90), ('xx', 0, 5)), c AS (SELECT lang AS value, count(*) AS n FROM documents GROUP BY 1), t AS (SELECT count(*) AS total FROM documents) SELECT value, coalesce(n, 0) AS n, total, CASE WHEN coalesce(n, 0) * 100 < total * low THEN 'under' WHEN coalesce(n, 0) * 100 > total * high THEN 'over' ELSE 'ok' END AS finding FROM b LEFT JOIN c USING (value), t")
+def q25(spark, sf):
+    return audit.bands(plain(spark, sf), F.col("lang"), spark.createDataFrame([("en", 10, 20), ("de", 30, 90), ("xx", 0, 5)], "value string, low int, high int"))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept and dropped records by language after exact and near duplicates went."""
+    d = dedup.deduplicate(plain(spark, sf_dir).select("id", "seq", "text", "lang", F.lit("verified_pass").alias("status"), F.lit("pass").alias("pipeline_status"), F.lit(None).cast("string").alias("error_message")), F.col("text"))
+    return d.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "deduped").alias("n_dropped"))
+
+
+QUERIES["flagship"] = flagship
+SQL["flagship"] = f"WITH RECURSIVE {_GREEDY} SELECT lang, count(*) AS n, count(dup.doc_id) AS n_dropped FROM documents LEFT JOIN dup USING (doc_id) GROUP BY 1"
