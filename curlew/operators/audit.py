@@ -8,6 +8,7 @@ from __future__ import annotations
 import ast
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,7 +167,7 @@ def parses(text: Column, kind: Column) -> Column:
     """Q17: whether code of the kind (python, json) parses; other kinds count as parsing. JSON needs no Python."""
 
     @F.pandas_udf("boolean")
-    def python_ok(s: "pd.Series") -> "pd.Series":  # noqa: F821
+    def python_ok(s: pd.Series) -> pd.Series:
         def one(t):
             try:
                 ast.parse(t or "")
@@ -219,8 +220,7 @@ def contradiction_candidates(df: DataFrame, topic: Column, text: Column, low: fl
     rows = df.select("seq", topic.alias("topic"), opening(text, 2).alias("key"), shingles_of(tokens(text), 1).alias("words")).filter("key <> ''")
     a, b = rows.select(*[F.col(c).alias(f"{c}_a") for c in rows.columns]), rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
     met = a.join(b, (F.col("topic_a") == F.col("topic_b")) & (F.col("key_a") == F.col("key_b")) & (F.col("seq_a") < F.col("seq_b")))
-    score = jaccard(F.col("words_a"), F.col("words_b"))
-    return met.filter((score >= low) & (score < high)).select(F.col("seq_a").alias("a"), F.col("seq_b").alias("b"))
+    return met.withColumn("score", jaccard(F.col("words_a"), F.col("words_b"))).filter((F.col("score") >= low) & (F.col("score") < high)).select(F.col("seq_a").alias("a"), F.col("seq_b").alias("b"))
 
 
 def pair_problems(chosen: Column, rejected: Column) -> Column:

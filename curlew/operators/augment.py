@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +27,9 @@ def metadata_variants(base: DataFrame, personas=PERSONAS, difficulties=DIFFICULT
     out = variant_axes(base, personas, difficulties, limit)
 
     @F.pandas_udf("struct<id:string,metadata:string>")
-    def made(parent: "pd.Series", axis: "pd.DataFrame", i: "pd.Series", r: "pd.DataFrame", m: "pd.Series") -> "pd.DataFrame":  # noqa: F821
+    def made(parent: pd.Series, axis: pd.DataFrame, i: pd.Series, r: pd.DataFrame, m: pd.Series) -> pd.DataFrame:
         import json
 
-        import pandas as pd
-
         rows = []
         for k in range(len(parent)):
             p, d = axis["persona"].iloc[k], axis["difficulty"].iloc[k]

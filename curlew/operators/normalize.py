@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,9 +65,7 @@ def record_ids(task: Column, instruction: Column, context: Column, response: Col
     """N7 over columns; byte parity with the JSON text needs Python, so it is an Arrow function."""
 
     @F.pandas_udf("string")
-    def run(t: "pd.Series", i: "pd.Series", c: "pd.Series", r: "pd.DataFrame") -> "pd.Series":  # noqa: F821
-        import pandas as pd
-
+    def run(t: pd.Series, i: pd.Series, c: pd.Series, r: pd.DataFrame) -> pd.Series:
         out = []
         for k in range(len(t)):
             fields = {f: r[f].iloc[k] for f in ("format", "text", "chosen", "rejected")}
@@ -175,9 +174,7 @@ def seeds(spark, topic: str, count: int = 500, task_type: str = "sft", source_ty
     instruction = F.concat(F.lit("Create dataset example "), F.col("seq").cast("string"), F.lit(f" for topic: {topic}"))
 
     @F.pandas_udf("string")
-    def ids(i: "pd.Series", k: "pd.Series") -> "pd.Series":  # noqa: F821
-        import pandas as pd
-
+    def ids(i: pd.Series, k: pd.Series) -> pd.Series:
         return pd.Series([content_id({"task_type": task_type, "instruction": a, "context": "", "response": answer, "seed_index": int(b)}) for a, b in zip(i, k, strict=True)])
 
     meta = F.to_json(F.struct(F.lit("unspecified").alias("difficulty"), F.lit("general").alias("persona"), F.lit(topic).alias("topic"), F.col("seq").alias("seed_index"), F.lit("seed").alias("draft_state"), F.lit(source_type).alias("source_type"), F.array().cast("array<string>").alias("tags")))

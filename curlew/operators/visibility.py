@@ -6,6 +6,7 @@ import json
 from collections.abc import Mapping
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def auto_values(text: Column, exclude: list[str]) -> Column:
     dropped = {x.lower() for x in exclude} or set(EXCLUDED)
 
     @F.pandas_udf("array<string>")
-    def run(s: "pd.Series") -> "pd.Series":  # noqa: F821
+    def run(s: pd.Series) -> pd.Series:
         return s.map(lambda t: response_values(t, dropped))
 
     return run(text)
@@ -75,7 +76,7 @@ def flat_values(paths: list[Column]) -> Column:
     """E13 over the values at several paths (JSON text or plain scalars)."""
 
     @F.pandas_udf("array<string>")
-    def run(s: "pd.Series") -> "pd.Series":  # noqa: F821
+    def run(s: pd.Series) -> pd.Series:
         def one(texts):
             out: list[str] = []
             for t in texts:
@@ -116,33 +117,45 @@ def hits(line: Column, patterns: Column) -> Column:
     return F.size(F.filter(patterns, lambda p: F.call_function("rlike", line, p)))
 
 
-def shown(df: DataFrame, field: str, config: Mapping[str, Any]) -> Column:
-    """The field's text without revealing lines, values redacted, blank runs collapsed."""
+def without(lines: Column, hidden) -> Column:
+    """The lines that are blank or not hidden."""
+    return F.filter(lines, lambda line: (strip(line) == "") | ~hidden(line))
+
+
+def shown(df: DataFrame, field: str, config: Mapping[str, Any]) -> DataFrame:
+    """Adds `_field`, the field's text without revealing lines, values redacted, blank runs collapsed.
+
+    Values that Python finds become pattern columns first: they can't be computed inside a line's lambda.
+    """
     text = F.coalesce(F.col(field), F.lit(""))
     if not config:
-        return text
+        return df.withColumn(f"_{field}", text)
     sensitive = bool(config.get("case_sensitive", False))
-    as_patterns = lambda vs: F.transform(vs, lambda v: pattern(v, sensitive))
+    made: dict[str, Column] = {}
+
+    def patterns(name: str, found: Column) -> Column:
+        made[f"_{field}_{name}"] = found
+        return F.transform(F.col(f"_{field}_{name}"), lambda v: pattern(v, sensitive))
+
     lines = lines_of(text)
     prefixes = [p.lower() for p in strings(config.get("remove_line_prefixes") or config.get("drop_line_prefixes"))]
-    drop: list = []
     if prefixes:
-        drop.append(lambda line: F.exists(F.array(*[F.lit(p) for p in prefixes]), lambda p: F.startswith(F.lower(strip(line)), p)))
+        listed = F.array(*[F.lit(p) for p in prefixes])
+        lines = without(lines, lambda line: F.exists(listed, lambda p: F.startswith(F.lower(strip(line)), p)))
     rule = config.get("remove_lines_with_fields") or {}
     if paths := strings(rule.get("paths") or rule.get("fields")):
-        found, least = as_patterns(flat_values([lookup(df, p) for p in paths])), max(1, int(rule.get("min_hits", 1)))
-        drop.append(lambda line, f=found, n=least: hits(line, f) >= n)
+        named, least = patterns("fields", flat_values([lookup(df, p) for p in paths])), max(1, int(rule.get("min_hits", 1)))
+        lines = without(lines, lambda line: hits(line, named) >= least)
     auto = config.get("auto_remove_lines_with_response_fields") or {}
     if auto and auto.get("enabled", True):
-        seen, few = as_patterns(auto_values(F.col("response.text"), strings(auto.get("exclude_fields")))), max(1, int(auto.get("min_hits", 2)))
-        drop.append(lambda line, f=seen, n=few: hits(line, f) >= n)
-    for rule_ in drop:
-        lines = F.filter(lines, lambda line, r=rule_: (strip(line) == "") | ~r(line))
+        seen, few = patterns("auto", auto_values(F.col("response.text"), strings(auto.get("exclude_fields")))), max(1, int(auto.get("min_hits", 2)))
+        lines = without(lines, lambda line: hits(line, seen) >= few)
     if paths := strings(config.get("redact_field_values") or config.get("redact_fields")):
         word = F.regexp_replace(F.lit(str(config.get("replacement", REPLACEMENT))), r"([\\$])", r"\\$1")
-        found = as_patterns(flat_values([lookup(df, p) for p in paths]))
-        lines = F.transform(lines, lambda line: F.aggregate(found, line, lambda now, p: F.regexp_replace(now, p, word)))
-    return strip(F.array_join(collapse(lines), "\n"))
+        secret = patterns("redact", flat_values([lookup(df, p) for p in paths]))
+        lines = F.transform(lines, lambda line: F.aggregate(secret, line, lambda now, p: F.regexp_replace(now, p, word)))
+    out = df.withColumns(made) if made else df
+    return out.withColumn(f"_{field}", strip(F.array_join(collapse(lines), "\n"))).drop(*made)
 
 
 def collapse(lines: Column) -> Column:
@@ -156,7 +169,7 @@ def apply(df: DataFrame, plan: Plan) -> DataFrame:
     rules, _ = mode(plan)
     for field in ("instruction", "context"):
         config = rules.get(field) if isinstance(rules.get(field), Mapping) else {}
-        df = df.withColumn(f"_{field}", shown(df, field, config))
+        df = shown(df, field, config)
     for field in ("instruction", "context"):
         df = df.withColumn(f"{field}_modified", F.col(f"_{field}") != (strip(F.coalesce(F.col(field), F.lit(""))) if rules.get(field) else F.coalesce(F.col(field), F.lit(""))))
     return df.withColumns({f: F.col(f"_{f}") for f in ("instruction", "context")}).drop("_instruction", "_context")

@@ -349,7 +349,7 @@ def d7(spark, sf):
     return dedup.representatives(d)
 
 
-@query("D8_minhash")
+@query("D8_minhash", f"WITH {_SETS} SELECT a, b FROM q")
 def d8(spark, sf):
     return dedup.minhash_pairs(plain(spark, sf), F.col("text"))
 

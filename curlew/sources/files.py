@@ -6,6 +6,7 @@ import glob
 import json
 import os
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,7 +77,7 @@ def decode(content):
     """UTF-8 or else Latin-1, which never fails."""
 
     @F.pandas_udf("string")
-    def run(s: "pd.Series") -> "pd.Series":  # noqa: F821
+    def run(s: pd.Series) -> pd.Series:
         def one(b):
             try:
                 return b.decode("utf-8")

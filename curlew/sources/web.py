@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +32,6 @@ def fetch(urls: DataFrame, fetcher: Callable = fetch_one, delay: float = 1.0) ->
     def run(batches):
         import time
 
-        import pandas as pd
-
         for pdf in batches:
             rows = []
             for k, u in enumerate(pdf["url"]):
@@ -58,9 +57,7 @@ def search(query: str, backends: Iterable[Callable[[str, int], list[dict]]], lim
 
 def chunk_ids(instruction: Column, uri: Column, index: Column) -> Column:
     @F.pandas_udf("string")
-    def run(a: "pd.Series", b: "pd.Series", c: "pd.Series") -> "pd.Series":  # noqa: F821
-        import pandas as pd
-
+    def run(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
         return pd.Series([content_id({"instruction": x, "source_uri": y, "chunk_index": int(z)}) for x, y, z in zip(a, b, c, strict=True)])
 
     return run(instruction, uri, index)
