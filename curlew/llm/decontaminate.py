@@ -17,6 +17,7 @@ unread.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 
@@ -56,7 +57,7 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int,
     out: list[tuple[int, int, int]] = []
     size = max(min_match, min(len(item), len(doc)))
     while True:
-        found, longest = [], 0
+        found = []
         whole_a = np.convolve(free_a, np.ones(size, int), "valid") == size if len(item) >= size else np.zeros(0, bool)
         whole_b = np.convolve(free_b, np.ones(size, int), "valid") == size if len(doc) >= size else np.zeros(0, bool)
         at_a, at_b = np.flatnonzero(whole_a), np.flatnonzero(whole_b)
@@ -64,25 +65,32 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int,
             ha, hb = rolling(item, size)[at_a], rolling(doc, size)[at_b]
             order = np.argsort(hb, kind="stable")
             lo, hi = np.searchsorted(hb[order], ha, "left"), np.searchsorted(hb[order], ha, "right")
-            for i, first, last in zip(at_a[hi > lo], lo[hi > lo], hi[hi > lo], strict=True):
-                for j in at_b[order[first:last]]:
+            for i, first, last in zip(at_a[hi > lo].tolist(), lo[hi > lo], hi[hi > lo], strict=True):
+                for j in at_b[order[first:last]].tolist():
+                    if i and j and item[i - 1] == doc[j - 1] and free_a[i - 1] and free_b[j - 1]:
+                        continue  # part of a run that starts before
                     n = min(len(item) - i, len(doc) - j)
                     stop = np.flatnonzero((item[i : i + n] != doc[j : j + n]) | ~free_a[i : i + n] | ~free_b[j : j + n])
                     n = int(stop[0]) if len(stop) else n
                     if n >= size:
-                        found.append((n, int(i), int(j)))
-                        longest = max(longest, n)
-        for n, i, j in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if free_a[i : i + n].all() and free_b[j : j + n].all():
-                free_a[i : i + n] = False
-                free_b[j : j + n] = False
-                out.append((i, j, n))
+                        found.append((-n, i, j))
+        # longest first; what earlier tiles left of a run queues again under its new length
+        heapq.heapify(found)
+        while found:
+            n, i, j = heapq.heappop(found)
+            free = free_a[i : i - n] & free_b[j : j - n]
+            if free.all():
+                free_a[i : i - n] = False
+                free_b[j : j - n] = False
+                out.append((i, j, -n))
+                continue
+            edges = np.flatnonzero(np.diff(np.concatenate(([False], free, [False])).astype(np.int8)))
+            for x, y in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                if y - x >= size:
+                    heapq.heappush(found, (x - y, i + x, j + x))
         if size == min_match:
-            # runs cut short by a tile of this round may still be long enough
-            if not found:
-                return out
-        else:
-            size = max(min_match, size // 2)
+            return out
+        size = max(min_match, size // 2)
 
 
 class Index:

@@ -119,3 +119,37 @@ def base_scores(docs):
             counts.update(toks[d])
     n, v = sum(counts.values()), len(counts)
     return {d: (held[d], len(x), sum(counts[w] > 0 for w in x), n, sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in x)) for d, x in toks.items()}
+
+
+def tiling(item, doc, min_match):
+    """Words of `item` that tiles cover, each tile the longest common run of free words (first in item, then doc)."""
+    free_a, free_b, covered = [True] * len(item), [True] * len(doc), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(doc)):
+                n = 0
+                while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n] and free_a[i + n] and free_b[j + n]:
+                    n += 1
+                best = max(best, (n, -i, -j))
+        n, i, j = best[0], -best[1], -best[2]
+        if n < min_match:
+            return covered
+        free_a[i : i + n] = [False] * n
+        free_b[j : j + n] = [False] * n
+        covered += n
+
+
+def contaminated(docs, items, min_match=3, coverage=0.8):
+    """(doc_id, item_id, words of the item, covered words)."""
+    words = lambda t: re.findall(r"\w+", (t or "").lower())
+    out = []
+    for d, text in docs:
+        a = words(text)
+        for k, item in items:
+            b = words(item)
+            if b and len(set(a) & set(b)) >= 0.5 * len(set(b)):
+                got = tiling(b, a, min(min_match, len(b)))
+                if got >= math.ceil(coverage * len(b) - 1e-9):
+                    out.append((d, k, len(b), got))
+    return out
