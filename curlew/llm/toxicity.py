@@ -28,7 +28,7 @@ BUCKETS = 1 << BITS
 MAX_TRAIN = 20_000
 Z = 4.0
 MIN_TEXTS = 4
-PENALTY = 1e-3
+PENALTY = 0.1
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,11 +70,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
-def fit_logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, n_features: int, penalty: float = PENALTY, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and bias by accelerated gradient descent; rows, cols, values: the entries of the matrix."""
+def fit_logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, n_features: int, penalty: float = PENALTY, steps: int = 1500) -> tuple[np.ndarray, float]:
+    """Weights and bias by accelerated gradient descent from the classes' log odds; rows, cols, values: the entries of the matrix."""
     w, b = np.zeros(n_features), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
-    norms = np.bincount(rows, values**2, minlength=len(y))
-    rate = 4.0 / (norms.mean() + 3 * norms.std() + 1)
+    # the step follows from the largest eigenvalue of X'X / n, by power iteration; the loss curves by a quarter of it
+    v, top = np.ones(n_features), 1.0
+    for _ in range(30):
+        v = np.bincount(cols, np.bincount(rows, v[cols] * values, minlength=len(y))[rows] * values, minlength=n_features) / len(y)
+        top = float(np.sqrt((v * v).sum()))
+        v /= max(top, 1e-12)
+    rate = 4.0 / (1.1 * top + 1)
     vw, vb, pw, pb = w.copy(), b, w.copy(), b
     for t in range(1, steps + 1):
         margin = np.bincount(rows, vw[cols] * values, minlength=len(y)) + vb
