@@ -48,8 +48,48 @@ class Stored:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Temporary:
+    """Deletes at its end what `store` wrote within it, except what `keep` was told of.
+
+    For operators that return tables that read only a few of those they wrote.
+    """
+
+    _open: list[Temporary] = []
+
+    def __enter__(self) -> Temporary:
+        self.made: list[Stored] = []
+        self._open.append(self)
+        return self
+
+    def keep(self, stored: Stored) -> Stored:
+        self.made.remove(stored)
+        if len(self._open) > 1:
+            self._open[-2].made.append(stored)
+        return stored
+
+    def __exit__(self, *_) -> None:
+        self._open.remove(self)
+        for x in self.made:
+            x.drop()
+
+
 def store(df: DataFrame, name: str) -> Stored:
-    return Stored(df, name)
+    out = Stored(df, name)
+    if Temporary._open:
+        Temporary._open[-1].made.append(out)
+    return out
+
+
+#: Rows of a table that is counted first and then sent to all executors; a longer one is joined by shuffle.
+SENT_ROWS = 100_000
+
+
+def left_join_counted(big: DataFrame, small: Stored, key: str, spread: Column) -> DataFrame:
+    """Left join on a nullable key: by broadcast where the stored table has at most SENT_ROWS rows, else salted."""
+    if small.df.count() > SENT_ROWS:
+        return salted_left_join(big, small.df, key, spread)
+    right = small.df.withColumnRenamed(key, "_key")
+    return big.join(F.broadcast(right), big[key].eqNullSafe(right["_key"]), "left").drop("_key")
 
 
 def release(spark: SparkSession) -> None:

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm._common import bitmap_filter, fresh, salted_left_join, store, table, utf8
+from curlew.llm._common import Temporary, bitmap_filter, fresh, release, salted_left_join, store, table, utf8
 
 BANDS, ROWS, EXTRA, BATCH = 16, 4, 64, 32
 SIZE = BANDS * ROWS + EXTRA
@@ -347,7 +347,9 @@ def near_dedup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     The ids that go are few beside the texts: a bitmap of them keeps untouched documents out of the join.
     """
-    judged = store(linked(docs.select("doc_id", "text"), n, percent).filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "dropped").df
+    with Temporary() as temp:
+        judged = temp.keep(store(linked(docs.select("doc_id", "text"), n, percent).filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "dropped")).df
+    release(docs.sparkSession)
     flag = fresh("maybe_gone", docs.columns)
     keyed = docs.withColumn("_gone", F.col("doc_id"))
     flagged = bitmap_filter(keyed, judged.toDF("_gone"), ["_gone"], flag)

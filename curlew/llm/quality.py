@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm._common import SPACE, fresh, salted_left_join, store, table
+from curlew.llm._common import SPACE, Temporary, bitmap_filter, fresh, left_join_counted, salted_left_join, store, table, text_key
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -96,15 +96,25 @@ def host_verdicts(judged: DataFrame, host: str, failed: str, reject_above: float
 def quality_filter(docs: DataFrame, host: str = "source", id_column: str = "doc_id") -> DataFrame:
     """Pipeline form: the documents that neither their own rules nor their host's verdict reject.
 
-    Documents and their own verdict are written once; reading them back serves both the host counts and the join.
+    Every document is measured once, for the hosts' counts; of it only keys and the verdict are written, never the
+    text. The keys of failed documents then pass as a bitmap of fixed size over the documents, and those it hits are
+    measured again, which needs no join. Hosts that are rejected are counted before they are sent to all executors.
     """
     columns = docs.columns
-    judged = measures(docs, columns)
-    failed, names = fresh("base_failed", columns), fresh("rejected_host", columns)
-    made = store(judged.select(*columns, failed), "judged").df
-    bad = host_verdicts(made, host, failed).filter("rejected").select(F.col(host), F.lit(True).alias(names))
-    joined = salted_left_join(made.filter(~F.col(failed)), bad, host, F.col(id_column))
-    return joined.filter(F.col(names).isNull()).select(*columns)
+    failed, names, maybe = fresh("base_failed", columns), fresh("rejected_host", columns), fresh("maybe_failed", columns)
+    ident, key, own = (fresh(c, [*columns, failed]) for c in ("judged_id", "judged_key", "judged_host"))
+    named = docs.select(F.col(id_column).alias(ident), text_key(F.col("text")).alias(key), F.col(host).alias(own), "text")
+    with Temporary() as temp:
+        judged = measures(named, [ident, key, own])
+        made = temp.keep(store(judged.select(ident, key, own, F.col(fresh("base_failed", [ident, key, own])).alias(failed)), "judged"))
+        bad = temp.keep(store(host_verdicts(made.df, own, failed).filter("rejected").select(F.col(own).alias(host), F.lit(True).alias(names)), "hosts"))
+    keyed = docs.withColumns({ident: F.col(id_column), key: text_key(F.col("text"))})
+    flagged = bitmap_filter(keyed, made.df.filter(failed), [ident, key], maybe)
+    sure = flagged.filter(~F.col(maybe)).select(*columns)
+    # exploding holds the filter above the measures: pushed below, it would evaluate them for every window
+    again = measures(flagged.filter(maybe).select(*columns), columns).select(*columns, F.explode(F.array(failed)).alias(maybe))
+    stay = sure.unionByName(again.filter(~F.col(maybe)).select(*columns))
+    return left_join_counted(stay, bad, host, F.col(id_column)).filter(F.col(names).isNull()).select(*columns)
 
 
 def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm._common import bitmap_filter, fresh, release, shuffle_partitions, store, table, text_key, utf8
+from curlew.llm._common import Temporary, bitmap_filter, fresh, release, shuffle_partitions, store, table, text_key, utf8
 
 WIDTH = 50
 GRAM = 24
@@ -424,8 +424,10 @@ def kept(body: bytes, spans) -> tuple[bytes, int, int]:
 def split_by_marks(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]]:
     """(documents without any span, documents with their spans, names of the columns added)."""
     names = {c: fresh(c, docs.columns) for c in ("mark_id", "mark_text", "mark_spans", "mark_hit")}
-    lists = marks(docs).groupBy(F.col("doc_id").alias(names["mark_id"]), F.col("text_id").alias(names["mark_text"])).agg(F.collect_list(F.struct("a", "b")).alias(names["mark_spans"]))
-    lists = store(lists, "spans").df
+    with Temporary() as temp:
+        lists = marks(docs).groupBy(F.col("doc_id").alias(names["mark_id"]), F.col("text_id").alias(names["mark_text"])).agg(F.collect_list(F.struct("a", "b")).alias(names["mark_spans"]))
+        lists = temp.keep(store(lists, "spans")).df
+    release(docs.sparkSession)
     keys = [names["mark_id"], names["mark_text"]]
     keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias(keys[0]), text_id(F.col("text")).alias(keys[1]))
     flagged = bitmap_filter(keyed, lists, keys, names["mark_hit"])
