@@ -8,12 +8,14 @@ from __future__ import annotations
 import ast
 import json
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curlew.functions.text import jaccard, shingles_of, strip, tokens
+from curlew.functions.text import shingles_of, strip, tokens
 from curlew.operators.validate import PLACEHOLDER, refusal
+from curlew.sources.scratch import Scratch
 
 SHAPES = {"json": r"^\s*[\[{]", "list": r"(?m)^\s*(?:[-*]|\d+[.)])\s", "code": r"```|(?m)^\s*(?:def|class|SELECT|import)\b", "multi_paragraph": r"\n"}
 OPENINGS = r"^(?i)(?:sure|certainly|of course|great question|as an|in this|here is|here are)\b"
@@ -212,15 +214,100 @@ def verdict(score: Column, underrepresented: Column) -> Column:
     return F.when(score >= 4, "pass").when((score == 3) & underrepresented, "pass").when(score <= 2, "fail").when(score.isNotNull(), "rewrite")
 
 
+#: Words of texts in a block of a topic; blocks of a topic meet two by two.
+BLOCK_WORDS = 1_000_000
+#: Cells of the counts of one strip of a block against the other, and meetings counted at once.
+CELLS, MEETINGS = 1 << 20, 1 << 23
+
+
+def _alike(left: list[np.ndarray], right: list[np.ndarray] | None, low: float, high: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of pairs of sets with low <= Jaccard < high, across two lists or, without a second, within one.
+
+    The prefix of a set of n is its n - ceil(low * n) + 1 rarest members. Counts of common prefix members leave few
+    pairs: members that two sets share outside of both prefixes all lie past the prefix of one of them.
+    """
+    sets = left + (right or [])
+    size = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, code, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.lexsort((code, often[code], owner))
+    code, owner = code[order], owner[order]
+    past = np.ceil(size * low - 1e-9).astype(np.int64) - 1
+    start = np.cumsum(size) - size
+    use = (np.arange(len(code)) - start[owner] < (size - past)[owner]) & (often[code] > 1)
+    first, n_left = (0 if right is None else len(left)), len(left)
+    mine, theirs = use & (owner < n_left), use & (owner >= first)
+    by_code = np.argsort(code[theirs], kind="stable")
+    there, met = owner[theirs][by_code] - first, code[theirs][by_code]
+    here, wanted = owner[mine], code[mine]
+    lo = np.searchsorted(met, wanted, "left")
+    reps = np.searchsorted(met, wanted, "right") - lo
+    n_right = len(sets) - first
+    strip_rows = max(1, CELLS // n_right)
+    out_a, out_b = [], []
+    for top in range(0, n_left, strip_rows):
+        rows = min(strip_rows, n_left - top)
+        k, end = np.searchsorted(here, [top, top + rows])
+        ends = np.cumsum(reps[k:end])
+        counts = np.zeros(rows * n_right, np.int64)
+        at = 0
+        while at < end - k:
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + MEETINGS, "right")))
+            r = reps[k + at : k + stop]
+            place = np.repeat(lo[k + at : k + stop] - np.cumsum(r) + r, r) + np.arange(r.sum())
+            counts += np.bincount(np.repeat(here[k + at : k + stop] - top, r) * n_right + there[place], minlength=len(counts))
+            at = stop
+        cell = np.flatnonzero(counts)
+        a, b = cell // n_right + top, cell % n_right + first
+        total = size[a] + size[b]
+        ok = counts[cell] + np.maximum(past[a], past[b]) >= total * (low / (1 + low)) - 1e-9
+        ok &= np.minimum(size[a], size[b]) >= np.maximum(size[a], size[b]) * low - 1e-9
+        if right is None:
+            ok &= a < b
+        out_a.append(a[ok])
+        out_b.append(b[ok])
+    a, b = np.concatenate(out_a), np.concatenate(out_b)
+    inter = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a.tolist(), b.tolist(), strict=True)], np.int64)
+    score = inter / np.maximum(size[a] + size[b] - inter, 1)
+    keep = (score >= low) & (score < high)
+    return a[keep], b[keep]
+
+
 def contradiction_candidates(df: DataFrame, topic: Column, text: Column, low: float = 0.3, high: float = 0.85) -> DataFrame:
     """Q23: (a, b) by seq: records of one topic that are alike but no duplicates, for a reader to judge.
 
-    Pairs are only made of records that share a rare-enough opening, not of all within a topic.
+    Of all pairs within a topic, those with low <= Jaccard < high of their word sets (words by 64-bit hash); low has
+    to be positive. Texts of the same words fold to one before anything is compared. Texts without words and null
+    topics make no pairs.
     """
-    rows = df.select("seq", topic.alias("topic"), opening(text, 2).alias("key"), shingles_of(tokens(text), 1).alias("words")).filter("key <> ''")
-    a, b = rows.select(*[F.col(c).alias(f"{c}_a") for c in rows.columns]), rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
-    met = a.join(b, (F.col("topic_a") == F.col("topic_b")) & (F.col("key_a") == F.col("key_b")) & (F.col("seq_a") < F.col("seq_b")))
-    return met.withColumn("score", jaccard(F.col("words_a"), F.col("words_b"))).filter((F.col("score") >= low) & (F.col("score") < high)).select(F.col("seq_a").alias("a"), F.col("seq_b").alias("b"))
+    if not low > 0:
+        raise ValueError("the lower bound has to be positive")
+    scratch = Scratch(df.sparkSession)
+    words = df.select("seq", topic.alias("topic"), F.transform(shingles_of(tokens(text), 1), lambda w: F.xxhash64(w)).alias("words")).filter(F.col("topic").isNotNull() & (F.size("words") > 0))
+    rows = scratch.put(words.select("seq", "topic", F.array_sort("words").alias("words")).withColumn("key", F.sha2(F.array_join("words", " "), 256)))
+    sets = scratch.put(rows.groupBy("topic", "key").agg(F.min("seq").alias("id"), F.min_by("words", "seq").alias("words")))
+    blocks = sets.groupBy("topic").agg(F.ceil(F.sum(F.size("words")) / BLOCK_WORDS).alias("blocks"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    placed = sets.join(blocks, "topic").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    met = placed.select("topic", "id", "words", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.select("topic", "id", "words", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def pairs_of(group: pd.DataFrame) -> pd.DataFrame:
+        one = group["block"] == group["i"]
+        a, b = group[one], group[~one]
+        if group["i"].iat[0] == group["j"].iat[0]:
+            x, y = _alike(list(a["words"]), None, low, high)
+            b = a
+        elif len(a) and len(b):
+            x, y = _alike(list(a["words"]), list(b["words"]), low, high)
+            y = y - len(a)
+        else:
+            return pd.DataFrame({"x": [], "y": []}, dtype="int64")
+        return pd.DataFrame({"x": a["id"].to_numpy()[x], "y": b["id"].to_numpy()[y]})
+
+    found = scratch.put(met.groupBy("topic", "i", "j").applyInPandas(pairs_of, "x long, y long"))
+    members = rows.join(sets.select("topic", "key", "id"), ["topic", "key"]).select("id", "seq")
+    both = found.join(members.toDF("x", "seq_x"), "x").join(members.toDF("y", "seq_y"), "y")
+    return both.select(F.least("seq_x", "seq_y").alias("a"), F.greatest("seq_x", "seq_y").alias("b"))
 
 
 def pair_problems(chosen: Column, rejected: Column) -> Column:
