@@ -1,15 +1,16 @@
 """Operator 4: document log-likelihoods of a gated recurrent language model.
 
 Words (bytes between ASCII white space, A-Z in lower case) and an end token are counted over all training
-documents, exactly, by hashed word in buckets. The model is a GRU: the FREQUENT words and 16 groups of rarer
-words (by their last letters) have input vectors, and its output is factored: first the class, then the word
-in its class. A rare word's probability is its group's, given the state, times its share of the group's counts;
+documents, exactly, by hashed word in buckets. The model is a GRU: the words that occur LEAST times or more (the
+MOST commonest, which bounds memory) and 16 groups of rarer words (by their last letters) have input vectors, and
+its output is factored: first the class, then the word in its class; the number of classes and their sizes follow
+the vocabulary, small classes for common words. A rare word's probability is its group's, given the state, times its share of the group's counts;
 an unknown word takes the half count that the base score gives it too. Output biases start at the counts'
 logarithms, so an untrained model is the counts' own.
 
 Training is by truncated backpropagation in numpy over every training document: state is carried from window
 to window and reset at each document's start. Each task trains a copy on its documents, one pass in ROUNDS
-rounds; after a round the copies are averaged (in groups, then on the driver: a fixed number of models).
+rounds; after a round the copies are averaged, part by part of the model.
 Documents are scored whole, in lanes of many documents side by side.
 
 Nulls: a null text is the end token alone; a null doc_id is trained on and not held out. Repeated rows count as
@@ -27,15 +28,18 @@ from pyspark.sql import functions as F
 
 from curlew.llm._common import shuffle_partitions, store, table, utf8
 
-HIDDEN, CLASSES, IN_CLASS, RARE = 16, 32, 48, 16
-FREQUENT = CLASSES * IN_CLASS
+HIDDEN, RARE = 16, 16
+#: Count from which a word is modelled by itself, and the most such words: about 130 MB a worker with the optimizer.
+LEAST, MOST = 5, 1 << 18
 WINDOW = 16
-LANES = 256
+LANES, FEWEST = 256, 16
 ROUNDS = 3
 RATE, START = 0.05, 0.1
 #: Bytes of text in a block, and tokens trained on or scored side by side.
 BLOCK = 6 << 20
 TOKENS = 4 << 20
+#: Bytes of a part of a model.
+PART = 1 << 20
 END = b" end"  # no word holds a space
 _LN10 = math.log(10)
 
@@ -100,7 +104,7 @@ def tokenised(docs: DataFrame, held_out) -> DataFrame:
 def counted(blocks: DataFrame, buckets: int) -> DataFrame:
     """For each block and bucket the corpus counts of the block's words there, in the block's order.
 
-    A bucket's first row also holds its distinct words and counts by group, and its FREQUENT commonest words.
+    A bucket's first row also holds its distinct words and counts by group, and its words that occur LEAST times, MOST at most.
     Buckets are by hashed word; a word is sent once a block, however common.
     """
 
@@ -128,8 +132,8 @@ def counted(blocks: DataFrame, buckets: int) -> DataFrame:
         known = total > 0
         shape = (flat & np.uint64(15)).astype(np.int64)
         stats = np.concatenate((np.bincount(shape[known], minlength=RARE), np.bincount(shape, total, minlength=RARE).astype(np.int64))).astype("<i8")
-        top = np.argsort(-total, kind="stable")[:FREQUENT]
-        top = top[total[top] > 0]
+        top = np.argsort(-total, kind="stable")[:MOST]
+        top = top[total[top] >= LEAST]
         n = len(keys)
         first = lambda x: [x] + [None] * (n - 1)
         return pa.table({"bucket": group.column("bucket"), "block": group.column("block"), "totals": pa.array([x.tobytes() for x in np.split(total[where], ends)], pa.binary()), "stats": pa.array(first(stats.tobytes()), pa.binary()), "top_keys": pa.array(first(flat[top].tobytes()), pa.binary()), "top_counts": pa.array(first(total[top].tobytes()), pa.binary())})
@@ -143,7 +147,7 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class Vocabulary:
-    """Corpus figures and the frequent words (at most FREQUENT) with their counts."""
+    """Corpus figures and the frequent words (at most MOST) with their counts."""
 
     def __init__(self, totals: DataFrame):
         def figures(batches):
@@ -165,15 +169,15 @@ class Vocabulary:
         sums = np.zeros(2 * RARE, np.int64)
         for r in rows.select("stats").mapInArrow(figures, "k int, x long").groupBy("k").agg(F.sum("x").alias("x")).collect():  # 32 rows
             sums[r["k"]] = r["x"]
-        best = rows.select("top_keys", "top_counts").mapInArrow(tops, "key long, n long").orderBy(F.desc("n"), "key").limit(FREQUENT).collect()
+        best = rows.select("top_keys", "top_counts").mapInArrow(tops, "key long, n long").orderBy(F.desc("n"), "key").limit(MOST).toArrow()
         end = word_key(END)
-        keys = np.array([r["key"] for r in best], np.int64).astype(np.uint64)
-        counts = np.array([r["n"] for r in best], np.int64)
+        keys = best.column("key").to_numpy().astype(np.int64).astype(np.uint64)
+        counts = best.column("n").to_numpy().astype(np.int64)
         at_end = int(np.flatnonzero(keys == end)[0]) if (keys == end).any() else -1
         end_count = counts[at_end] if at_end >= 0 else 0
         others = np.arange(len(keys)) != at_end
-        self.keys = np.concatenate(([np.uint64(end)], keys[others]))[:FREQUENT].astype(np.uint64)  # the end token is word 0
-        self.counts = np.concatenate(([end_count], counts[others]))[:FREQUENT].astype(np.int64)
+        self.keys = np.concatenate(([np.uint64(end)], keys[others]))[:MOST].astype(np.uint64)  # the end token is word 0
+        self.counts = np.concatenate(([end_count], counts[others]))[:MOST].astype(np.int64)
         self.order = np.argsort(self.keys)
         self.distinct, self.tokens = int(sums[:RARE].sum()), int(sums[RARE:].sum())
         group = (self.keys & np.uint64(15)).astype(np.int64)
@@ -184,58 +188,71 @@ class Vocabulary:
         self.log_total = math.log10(self.tokens + 0.5 * (self.distinct + 1))
 
     def ids(self, keys: np.ndarray) -> np.ndarray:
-        """Model id of each key: a frequent word's place, or FREQUENT + its group."""
+        """Model id of each key: a frequent word's place, or their number + its group."""
         at = np.minimum(np.searchsorted(self.keys[self.order], keys), len(self.keys) - 1)
         found = self.order[at]
-        return np.where(self.keys[found] == keys, found, FREQUENT + (keys & np.uint64(15)).astype(np.int64)).astype(np.int32)
+        return np.where(self.keys[found] == keys, found, len(self.keys) + (keys & np.uint64(15)).astype(np.int64)).astype(np.int32)
 
     def rest(self, ids: np.ndarray, totals: np.ndarray) -> np.ndarray:
         """log10 of a word's share of its group's counts; 0 for frequent words."""
-        group = np.maximum(ids - FREQUENT, 0)
-        return np.where(ids >= FREQUENT, np.log10((totals + 0.5) / self.rare_mass[group]), 0.0)
+        n = len(self.keys)
+        group = np.maximum(ids - n, 0)
+        return np.where(ids >= n, np.log10((totals + 0.5) / self.rare_mass[group]), 0.0)
 
 
 # --- model ------------------------------------------------------------------------------------------------
 
 
+def class_edges(n: int) -> np.ndarray:
+    """Where the classes of n words, commonest first, begin and end: about half of sqrt(n) classes, of growing size."""
+    classes = max(1, round(math.sqrt(n) / 2))
+    return np.unique(np.ceil(n * (np.arange(classes + 1) / classes) ** 3 - 1e-9).astype(np.int64))
+
+
 class Gru:
-    """Parameters as float32 arrays by name; word w is word w % IN_CLASS of class w // IN_CLASS."""
+    """Parameters as float32 arrays by name; class c has words edges[c] to edges[c + 1]."""
 
     def __init__(self, params: dict[str, np.ndarray]):
         self.p = params
+        self.words = len(params["bo"])
+        self.edges = class_edges(self.words)
+        self.classes = len(self.edges) - 1
 
     @classmethod
     def start(cls, vocab: Vocabulary) -> Gru:
         rng = np.random.default_rng(11)
-        n = FREQUENT + RARE
-        mass = np.full(FREQUENT, 1e-6)
-        mass[: len(vocab.counts)] = vocab.counts + 0.5
-        per = mass.reshape(CLASSES, IN_CLASS)
+        words = len(vocab.counts)
+        mass = vocab.counts + 0.5
+        edges = class_edges(words)
+        sizes = np.diff(edges)
         p = {
-            "u": rng.normal(0, 0.3, (n, 3 * HIDDEN)),
+            "u": rng.normal(0, 0.3, (words + RARE, 3 * HIDDEN)),
             "w": rng.normal(0, 1 / math.sqrt(HIDDEN), (HIDDEN, 3 * HIDDEN)),
-            "wc": rng.normal(0, 0.05, (HIDDEN, CLASSES + RARE)),
-            "bc": np.log(np.concatenate((per.sum(axis=1), vocab.rare_mass))),
-            "wo": rng.normal(0, 0.05, (CLASSES, HIDDEN, IN_CLASS)),
-            "bo": np.log(per),
+            "wc": rng.normal(0, 0.05, (HIDDEN, len(sizes) + RARE)),
+            "bc": np.log(np.concatenate((np.add.reduceat(mass, edges[:-1]), vocab.rare_mass))),
+            "wo": rng.normal(0, 0.05, (words, HIDDEN)),
+            "bo": np.log(mass) - np.repeat(np.log(np.maximum.reduceat(mass, edges[:-1])), sizes),
         }
         p["u"][:, :HIDDEN] += 1.0  # keep the state at first
         p["bc"] -= p["bc"].max()
-        p["bo"] -= p["bo"].max(axis=1, keepdims=True)
         return cls({k: v.astype(np.float32) for k, v in p.items()})
 
     NAMES = ("u", "w", "wc", "bc", "wo", "bo")
-    SHAPES = {"u": (FREQUENT + RARE, 3 * HIDDEN), "w": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, CLASSES + RARE), "bc": (CLASSES + RARE,), "wo": (CLASSES, HIDDEN, IN_CLASS), "bo": (CLASSES, IN_CLASS)}
+
+    @staticmethod
+    def shapes(words: int) -> dict[str, tuple[int, ...]]:
+        classes = len(class_edges(words)) - 1 + RARE
+        return {"u": (words + RARE, 3 * HIDDEN), "w": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, classes), "bc": (classes,), "wo": (words, HIDDEN), "bo": (words,)}
 
     def tobytes(self) -> bytes:
         return b"".join(self.p[k].astype("<f4").tobytes() for k in self.NAMES)
 
     @classmethod
-    def frombytes(cls, data: bytes) -> Gru:
+    def frombytes(cls, data: bytes, words: int) -> Gru:
         flat, at, p = np.frombuffer(data, "<f4"), 0, {}
-        for k in cls.NAMES:
-            n = math.prod(cls.SHAPES[k])
-            p[k] = flat[at : at + n].reshape(cls.SHAPES[k]).copy()
+        for k, shape in cls.shapes(words).items():
+            n = math.prod(shape)
+            p[k] = flat[at : at + n].reshape(shape).copy()
             at += n
         return cls(p)
 
@@ -278,24 +295,25 @@ class Gru:
 
     def output(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """Log probabilities of words y after states h; grads: gets the gradients of their mean's negative."""
-        cls = np.where(y < FREQUENT, y // IN_CLASS, y - FREQUENT + CLASSES)
+        cls = np.where(y < self.words, np.searchsorted(self.edges, y, "right") - 1, y - self.words + self.classes)
         p, logp = self._softmax(h @ self.p["wc"] + self.p["bc"], cls)
         if grads is not None:
             p[np.arange(len(y)), cls] -= 1
             grads["wc"], grads["bc"], dh = h.T @ p, p.sum(axis=0), p @ self.p["wc"].T
-            grads["wo"], grads["bo"] = np.zeros_like(self.p["wo"]), np.zeros_like(self.p["bo"])
+            grads["words"] = []
         order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        edges = np.searchsorted(cls[order], np.arange(self.classes + 1))
+        for c in np.flatnonzero(np.diff(edges)).tolist():
             rows = order[edges[c] : edges[c + 1]]
-            if len(rows):
-                hc, yc = h[rows], y[rows] - c * IN_CLASS
-                q, lq = self._softmax(hc @ self.p["wo"][c] + self.p["bo"][c], yc)
-                logp[rows] += lq
-                if grads is not None:
-                    q[np.arange(len(rows)), yc] -= 1
-                    grads["wo"][c], grads["bo"][c] = hc.T @ q, q.sum(axis=0)
-                    dh[rows] += q @ self.p["wo"][c].T
+            own = slice(self.edges[c], self.edges[c + 1])
+            hc, yc = h[rows], y[rows] - self.edges[c]
+            wo = self.p["wo"][own]
+            q, lq = self._softmax(hc @ wo.T + self.p["bo"][own], yc)
+            logp[rows] += lq
+            if grads is not None:
+                q[np.arange(len(rows)), yc] -= 1
+                grads["words"].append((own, q.T @ hc, q.sum(axis=0)))
+                dh[rows] += q @ wo
         if grads is not None:
             grads["h"] = dh
         return logp
@@ -374,15 +392,19 @@ class Adagrad:
         self.model, self.rate, self.sums = model, rate, {k: np.full_like(v, START) for k, v in model.p.items()}
 
     def step(self, grads: dict, n: int) -> None:
-        for k, p in self.model.p.items():
-            g = np.clip(grads[k] / max(1.0, math.sqrt(n)), -5, 5)
-            if k == "u":
-                rows = grads["u_rows"]
-                self.sums[k][rows] += g * g
-                p[rows] -= self.rate * g / np.sqrt(self.sums[k][rows])
-            else:
-                self.sums[k] += g * g
-                p -= self.rate * g / np.sqrt(self.sums[k])
+        """Moves by summed gradients; n: tokens of a full step, so that steps of few lanes weigh less."""
+        scale = max(1.0, math.sqrt(n))
+        self._move("u", grads["u_rows"], grads["u"], scale)
+        for k in ("w", "wc", "bc"):
+            self._move(k, slice(None), grads[k], scale)
+        for own, wo, bo in grads["words"]:
+            self._move("wo", own, wo, scale)
+            self._move("bo", own, bo, scale)
+
+    def _move(self, name: str, where, grad: np.ndarray, scale: float) -> None:
+        g = np.clip(grad / np.float32(scale), -5, 5)
+        self.sums[name][where] += g * g
+        self.model.p[name][where] -= self.rate * g / np.sqrt(self.sums[name][where])
 
 
 def learn(optimizer: Adagrad, docs: list[np.ndarray]) -> None:
@@ -390,7 +412,9 @@ def learn(optimizer: Adagrad, docs: list[np.ndarray]) -> None:
     if not docs:
         return
     model = optimizer.model
-    x, y, _, ends = side_by_side(docs)
+    # few enough lanes that the longest document is no longer than the others: a pass that ends on a few forgets the rest
+    lens = [len(d) for d in docs]
+    x, y, _, ends = side_by_side(docs, max(FEWEST, min(LANES, sum(lens) // max(lens))))
     h = np.zeros((len(ends), HIDDEN), np.float32)
     for lo in range(0, len(x), WINDOW):
         n = int((ends > lo).sum())
@@ -404,7 +428,7 @@ def learn(optimizer: Adagrad, docs: list[np.ndarray]) -> None:
         dh = np.zeros((target.size, HIDDEN), np.float32)
         dh[ok] = grads.pop("h")
         model.backward(part, kept, dh.reshape(*part.shape, HIDDEN), grads)
-        optimizer.step(grads, len(ok))
+        optimizer.step(grads, len(ends) * WINDOW)
 
 
 # --- the operator -----------------------------------------------------------------------------------------
@@ -419,15 +443,16 @@ def block_documents(lens: bytes, tokens: bytes, ids: np.ndarray) -> list[np.ndar
 def trained(blocks: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Gru:
     sc = blocks.sparkSession.sparkContext
     model = Gru.start(vocab)
-    vocab_sent = sc.broadcast(vocab)
+    vocab_sent, words = sc.broadcast(vocab), model.words
+    # a copy is as large as the model: as many as there are cores, and of TOKENS each where there are fewer
+    tasks = max(1, min(sc.defaultParallelism, vocab.tokens // (rounds * TOKENS)))
     for r in range(rounds):
         sent = sc.broadcast(model.tobytes())
 
         def run(batches, sent=sent):
             import pyarrow as pa
-            from pyspark import TaskContext
 
-            optimizer, docs, size, seen = Adagrad(Gru.frombytes(sent.value)), [], 0, 0
+            optimizer, docs, size, seen = Adagrad(Gru.frombytes(sent.value, words)), [], 0, 0
             for batch in batches:
                 for lens, held, tokens, keys in zip(*batch.columns, strict=True):
                     found = block_documents(lens.as_py(), tokens.as_py(), vocab_sent.value.ids(np.frombuffer(keys.as_py(), "<u8")))
@@ -440,7 +465,9 @@ def trained(blocks: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Gru:
             learn(optimizer, docs)
             seen += size
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 16], pa.int32()), pa.array([seen], pa.int64()), pa.array([optimizer.model.tobytes()], pa.binary())], names=["slot", "n", "model"])
+                data = optimizer.model.tobytes()
+                for part, at in enumerate(range(0, len(data), PART)):
+                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seen], pa.int64()), pa.array([data[at : at + PART]], pa.binary())], names=["part", "n", "model"])
 
         def mean(group):
             import pyarrow as pa
@@ -449,14 +476,13 @@ def trained(blocks: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Gru:
             flat = np.zeros(len(group.column("model")[0].as_py()) // 4)
             for k, x in zip(n, group.column("model"), strict=True):
                 flat += np.frombuffer(x.as_py(), "<f4") * (k / sum(n))
-            return pa.table({"slot": group.column("slot").slice(0, 1), "n": pa.array([sum(n)], pa.int64()), "model": pa.array([flat.astype("<f4").tobytes()], pa.binary())})
+            return pa.table({"part": group.column("part").slice(0, 1), "n": pa.array([sum(n)], pa.int64()), "model": pa.array([flat.astype("<f4").tobytes()], pa.binary())})
 
-        schema = "slot int, n long, model binary"
-        mine = blocks.filter(F.pmod(F.xxhash64("block"), F.lit(rounds)) == r).select("lens", "held", "tokens", "keys")
-        got = mine.mapInArrow(run, schema).groupBy("slot").applyInArrow(mean, schema).collect()  # at most 16 models
+        schema = "part int, n long, model binary"
+        mine = blocks.filter(F.pmod(F.xxhash64("block"), F.lit(rounds)) == r).select("lens", "held", "tokens", "keys").coalesce(tasks)
+        got = mine.mapInArrow(run, schema).groupBy("part").applyInArrow(mean, schema).collect()  # one model
         if got:
-            n = sum(x["n"] for x in got)
-            model = Gru.frombytes(sum(np.frombuffer(x["model"], "<f4") * (x["n"] / n) for x in got).astype("<f4").tobytes())
+            model = Gru.frombytes(b"".join(x["model"] for x in sorted(got, key=lambda x: x["part"])), words)
     return model
 
 
@@ -470,7 +496,8 @@ def scored(blocks: DataFrame, totals: DataFrame, vocab: Vocabulary, model: Gru,
     def run(batches):
         import pyarrow as pa
 
-        vocab, model = vocab_sent.value, Gru.frombytes(sent.value)
+        vocab = vocab_sent.value
+        model = Gru.frombytes(sent.value, len(vocab.keys))
         rows, docs, size = [], [], 0
 
         def flush():
