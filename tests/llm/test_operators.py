@@ -10,7 +10,7 @@ import pytest
 from oracle import duck_rows, spark_rows
 from pyspark.sql import functions as F
 
-from curlew.llm import near_dups, packing, repeats, token_store
+from curlew.llm import near_dups, packing, token_store
 from curlew.llm.decontaminate import decontaminate, tiles
 from curlew.llm.queries import ORACLE_SQL, QUERIES
 from curlew.llm.tokens import encoder, vocabulary
@@ -156,14 +156,6 @@ def test_op5_dense_repeats(spark, tmp_path):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id], r.doc_id
 
 
-def test_op5_settles_over_many_groups(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "GROUP", 1 << 12)
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    want = brute.removed_spans(docs_of(SF))
-    for r in repeats.find_repeats(docs).collect():
-        assert (r.n_removed, r.kept_sha256) == want[r.doc_id][1::2]
-
-
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 @pytest.mark.parametrize("where", ["table", "sf0.01"])
 def test_equals_sql(spark, name, where):
