@@ -44,7 +44,7 @@ RECORD = REACH + RIGHT  # bytes before and after a suffix's start that its windo
 KEY = 32
 #: Bytes of text of a block, of blocks settled together before records are sent, and of records in a bucket.
 BLOCK, GROUP, BUCKET = 4 << 20, 16 << 20, 24 << 20
-PASSES = 6
+PASSES = 8
 #: Sampled suffixes for each bucket, and blocks that are sampled at least, and one in so many of the others.
 SAMPLES, BLOCKS, ONE_IN = 16, 32, 16
 #: Places looked at together when suffixes are chosen.
