@@ -1,17 +1,19 @@
 """Operator 4: document log-likelihoods of a gated recurrent language model.
 
 Words (bytes between ASCII white space, A-Z in lower case) and an end token are counted over all training
-documents, exactly, by hashed word in buckets. The model is a GRU: the words that occur LEAST times or more (the
-MOST commonest, which bounds memory) and 16 groups of rarer words (by their last letters) have input vectors, and
-its output is factored: first the class, then the word in its class; the number of classes and their sizes follow
-the vocabulary, small classes for common words. A rare word's probability is its group's, given the state, times its share of the group's counts;
-an unknown word takes the half count that the base score gives it too. Output biases start at the counts'
-logarithms, so an untrained model is the counts' own.
+documents, exactly, by hashed word in buckets. The model is a GRU: the commonest words, as many as the square root
+of the number of training tokens (as distinct words grow with a text; MOST at most, which bounds memory) that
+occur LEAST times or more, and 16 groups of rarer words (by their last letters) have input vectors, and its
+output is factored: first the class, then the word in its class; the number of classes and their sizes follow
+the vocabulary, small classes for common words. A rare word's probability is its group's, given the state, times
+its share of the group's counts; an unknown word takes the half count that the base score gives it too. Output
+biases start at the counts' logarithms, so an untrained model is the counts' own.
 
 Training is by truncated backpropagation in numpy over every training document: state is carried from window
-to window and reset at each document's start. Each task trains a copy on its documents, one pass in ROUNDS
-rounds; after a round the copies are averaged, part by part of the model.
-Documents are scored whole, in lanes of many documents side by side.
+to window and reset at each document's start, in training also after each STRETCH tokens of a long one. Each
+task trains a copy on its documents, one pass in ROUNDS rounds; after a round the copies are averaged, part by
+part of the model, FAN copies at a time. Documents are scored whole, state carried from their start to their
+end, in lanes of many documents side by side.
 
 Nulls: a null text is the end token alone; a null doc_id is trained on and not held out. Repeated rows count as
 often as they occur. With no training documents all counts are 0 and both scores are those of one unknown
@@ -26,20 +28,25 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm._common import shuffle_partitions, store, table, utf8
+from curlew.llm._common import store, table, utf8
 
 HIDDEN, RARE = 16, 16
-#: Count from which a word is modelled by itself, and the most such words: about 130 MB a worker with the optimizer.
+#: Count from which a word may be modelled by itself, and the most such words: about 130 MB a worker with the optimizer.
 LEAST, MOST = 5, 1 << 18
 WINDOW = 16
-LANES, FEWEST = 256, 16
+LANES, FEWEST, SCORED = 512, 16, 1024  # side by side in training, and in scoring
+#: Tokens of a document after which training goes on from a fresh state; scoring never does.
+STRETCH = 4096
 ROUNDS = 3
 RATE, START = 0.05, 0.1
-#: Bytes of text in a block, and tokens trained on or scored side by side.
+#: Bytes of text in a block, tokens trained on or scored side by side, and those that make a training task worth while.
 BLOCK = 6 << 20
 TOKENS = 4 << 20
-#: Bytes of a part of a model.
+TASK = 2 << 20
+#: Bytes of words and counts in a bucket, of a part of a model, and copies that are averaged in one step.
+BUCKET = 24 << 20
 PART = 1 << 20
+FAN = 16
 END = b" end"  # no word holds a space
 _LN10 = math.log(10)
 
@@ -101,11 +108,18 @@ def tokenised(docs: DataFrame, held_out) -> DataFrame:
     return base.mapInArrow(run, schema)
 
 
+def bucket_count(blocks: DataFrame, size: int = BUCKET) -> int:
+    """Buckets of about `size` bytes of words, whatever the number of partitions."""
+    sent = blocks.agg(F.coalesce(F.sum(F.octet_length("keys") + F.octet_length("counts")), F.lit(0)).cast("long")).first()[0]
+    return max(1, -(-sent // size))
+
+
 def counted(blocks: DataFrame, buckets: int) -> DataFrame:
     """For each block and bucket the corpus counts of the block's words there, in the block's order.
 
-    A bucket's first row also holds its distinct words and counts by group, and its words that occur LEAST times, MOST at most.
-    Buckets are by hashed word; a word is sent once a block, however common.
+    A bucket's first row also holds its distinct words and counts by group, how many of its words have each
+    (rounded) count, and its words that occur LEAST times. Buckets are by hashed word; a word is sent once a block,
+    however common, so rows are no more than the blocks' distinct words.
     """
 
     def send(batches):
@@ -132,14 +146,21 @@ def counted(blocks: DataFrame, buckets: int) -> DataFrame:
         known = total > 0
         shape = (flat & np.uint64(15)).astype(np.int64)
         stats = np.concatenate((np.bincount(shape[known], minlength=RARE), np.bincount(shape, total, minlength=RARE).astype(np.int64))).astype("<i8")
-        top = np.argsort(-total, kind="stable")[:MOST]
-        top = top[total[top] >= LEAST]
+        top = total >= LEAST
+        sizes, many = np.unique(rounded(total[top]), return_counts=True)
         n = len(keys)
-        first = lambda x: [x] + [None] * (n - 1)
-        return pa.table({"bucket": group.column("bucket"), "block": group.column("block"), "totals": pa.array([x.tobytes() for x in np.split(total[where], ends)], pa.binary()), "stats": pa.array(first(stats.tobytes()), pa.binary()), "top_keys": pa.array(first(flat[top].tobytes()), pa.binary()), "top_counts": pa.array(first(total[top].tobytes()), pa.binary())})
+        first = lambda x: pa.array([x.astype("<i8").tobytes()] + [None] * (n - 1), pa.binary())
+        return pa.table({"bucket": group.column("bucket"), "block": group.column("block"), "totals": pa.array([x.tobytes() for x in np.split(total[where], ends)], pa.binary()), "stats": first(stats), "sizes": first(np.concatenate((sizes, many))), "top_keys": first(flat[top].view("<i8")), "top_counts": first(total[top])})
 
     sent = blocks.select("block", "keys", "counts").mapInArrow(send, "bucket int, block long, keys binary, counts binary")
-    return sent.groupBy("bucket").applyInArrow(add, "bucket int, block long, totals binary, stats binary, top_keys binary, top_counts binary")
+    return sent.groupBy("bucket").applyInArrow(add, "bucket int, block long, totals binary, stats binary, sizes binary, top_keys binary, top_counts binary")
+
+
+def rounded(counts: np.ndarray) -> np.ndarray:
+    """Counts down to eight significant bits: under 8000 values, whatever the counts."""
+    counts = counts.astype(np.int64)
+    drop = np.maximum(np.frexp(counts.astype(np.float64))[1] - 8, 0)
+    return counts >> drop << drop
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -147,39 +168,56 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class Vocabulary:
-    """Corpus figures and the frequent words (at most MOST) with their counts."""
+    """Corpus figures and the frequent words with their counts."""
 
-    def __init__(self, totals: DataFrame):
-        def figures(batches):
-            import pyarrow as pa
+    def __init__(self, totals: DataFrame, most: int = MOST):
+        def pairs(first, second):
+            def run(batches):
+                import pyarrow as pa
 
-            for batch in batches:
-                for x in batch.column(0):
-                    a = np.frombuffer(x.as_py(), "<i8")
-                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(a)), pa.int32()), pa.array(a)], names=["k", "x"])
+                for batch in batches:
+                    for x, y in zip(batch.column(0), batch.column(1), strict=True):
+                        x, y = np.frombuffer(x.as_py(), "<i8"), np.frombuffer(y.as_py(), "<i8")
+                        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=[first, second])
 
-        def tops(batches):
+            return run
+
+        def figures(batches):
             import pyarrow as pa
 
             for batch in batches:
-                for k, c in zip(*batch.columns, strict=True):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k.as_py(), "<i8")), pa.array(np.frombuffer(c.as_py(), "<i8"))], names=["key", "n"])
+                for kind, column in enumerate(batch.columns):
+                    for x in column:
+                        a = np.frombuffer(x.as_py(), "<i8")
+                        k = np.arange(len(a)) if kind == 0 else a[: len(a) // 2]
+                        yield pa.RecordBatch.from_arrays([pa.array([kind] * len(k), pa.int32()), pa.array(k, pa.int64()), pa.array(a if kind == 0 else a[len(a) // 2 :])], names=["kind", "k", "x"])
 
         rows = totals.filter("stats IS NOT NULL")
-        sums = np.zeros(2 * RARE, np.int64)
-        for r in rows.select("stats").mapInArrow(figures, "k int, x long").groupBy("k").agg(F.sum("x").alias("x")).collect():  # 32 rows
-            sums[r["k"]] = r["x"]
-        best = rows.select("top_keys", "top_counts").mapInArrow(tops, "key long, n long").orderBy(F.desc("n"), "key").limit(MOST).toArrow()
+        sums, sizes = np.zeros(2 * RARE, np.int64), {}
+        # 32 rows, and one for each rounded count
+        for r in rows.select("stats", "sizes").mapInArrow(figures, "kind int, k long, x long").groupBy("kind", "k").agg(F.sum("x").alias("x")).collect():
+            if r["kind"] == 0:
+                sums[r["k"]] = r["x"]
+            else:
+                sizes[r["k"]] = r["x"]
+        self.distinct, self.tokens = int(sums[:RARE].sum()), int(sums[RARE:].sum())
+        room, least = min(most, math.isqrt(self.tokens)), 1 << 62
+        for count, words in sorted(sizes.items(), reverse=True):
+            room -= words
+            if room < 0:
+                break
+            least = count
+        best = rows.select("top_keys", "top_counts").mapInArrow(pairs("key", "n"), "key long, n long").filter(F.col("n") >= least).toArrow()  # `most` rows at most
+        best = best.sort_by([("n", "descending"), ("key", "ascending")])
         end = word_key(END)
         keys = best.column("key").to_numpy().astype(np.int64).astype(np.uint64)
         counts = best.column("n").to_numpy().astype(np.int64)
         at_end = int(np.flatnonzero(keys == end)[0]) if (keys == end).any() else -1
         end_count = counts[at_end] if at_end >= 0 else 0
         others = np.arange(len(keys)) != at_end
-        self.keys = np.concatenate(([np.uint64(end)], keys[others]))[:MOST].astype(np.uint64)  # the end token is word 0
-        self.counts = np.concatenate(([end_count], counts[others]))[:MOST].astype(np.int64)
+        self.keys = np.concatenate(([np.uint64(end)], keys[others])).astype(np.uint64)  # the end token is word 0
+        self.counts = np.concatenate(([end_count], counts[others])).astype(np.int64)
         self.order = np.argsort(self.keys)
-        self.distinct, self.tokens = int(sums[:RARE].sum()), int(sums[RARE:].sum())
         group = (self.keys & np.uint64(15)).astype(np.int64)
         seen = self.counts > 0
         mass = sums[RARE:] - np.bincount(group, self.counts, minlength=RARE).astype(np.int64) + 0.5 * (sums[:RARE] - np.bincount(group[seen], minlength=RARE))
@@ -206,7 +244,7 @@ class Vocabulary:
 def class_edges(n: int) -> np.ndarray:
     """Where the classes of n words, commonest first, begin and end: about half of sqrt(n) classes, of growing size."""
     classes = max(1, round(math.sqrt(n) / 2))
-    return np.unique(np.ceil(n * (np.arange(classes + 1) / classes) ** 3 - 1e-9).astype(np.int64))
+    return np.unique(np.ceil(n * (np.arange(classes + 1) / classes) ** 2 - 1e-9).astype(np.int64))
 
 
 class Gru:
@@ -217,6 +255,8 @@ class Gru:
         self.words = len(params["bo"])
         self.edges = class_edges(self.words)
         self.classes = len(self.edges) - 1
+        # of words, then of the groups of rare words, which are classes of their own
+        self.class_of = np.concatenate((np.repeat(np.arange(self.classes), np.diff(self.edges)), self.classes + np.arange(RARE))).astype(np.int16)
 
     @classmethod
     def start(cls, vocab: Vocabulary) -> Gru:
@@ -283,40 +323,44 @@ class Gru:
         return out, h
 
     @staticmethod
-    def _softmax(logits: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probabilities, log probability of y); logits are overwritten."""
-        top = logits.max(axis=1, keepdims=True)
-        logits -= top
-        own = logits[np.arange(len(y)), y].astype(np.float64)
+    def _softmax(logits: np.ndarray, y: np.ndarray, wanted: bool) -> np.ndarray:
+        """Log probability of y; logits, which are far from overflowing, are overwritten: wanted, by probabilities less one for y."""
+        np.minimum(logits, 80, out=logits)
+        at = np.arange(len(y))
+        own = logits[at, y].astype(np.float64)
         np.exp(logits, out=logits)
-        total = logits.sum(axis=1, keepdims=True)
-        logits /= total
-        return logits, own - np.log(total[:, 0])
+        total = logits @ np.ones(logits.shape[1], np.float32)
+        if wanted:
+            logits *= (1 / total)[:, None]
+            logits[at, y] -= 1
+        return own - np.log(total)
 
     def output(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """Log probabilities of words y after states h; grads: gets the gradients of their mean's negative."""
-        cls = np.where(y < self.words, np.searchsorted(self.edges, y, "right") - 1, y - self.words + self.classes)
-        p, logp = self._softmax(h @ self.p["wc"] + self.p["bc"], cls)
+        cls = self.class_of[y]
+        order = np.argsort(cls, kind="stable")
+        h, y, cls = h[order], y[order], cls[order]
+        p = h @ self.p["wc"]
+        p += self.p["bc"]
+        logp = self._softmax(p, cls, grads is not None)
         if grads is not None:
-            p[np.arange(len(y)), cls] -= 1
             grads["wc"], grads["bc"], dh = h.T @ p, p.sum(axis=0), p @ self.p["wc"].T
             grads["words"] = []
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(self.classes + 1))
+        edges = np.searchsorted(cls, np.arange(self.classes + 1))
         for c in np.flatnonzero(np.diff(edges)).tolist():
-            rows = order[edges[c] : edges[c + 1]]
-            own = slice(self.edges[c], self.edges[c + 1])
-            hc, yc = h[rows], y[rows] - self.edges[c]
+            rows, own = slice(edges[c], edges[c + 1]), slice(self.edges[c], self.edges[c + 1])
             wo = self.p["wo"][own]
-            q, lq = self._softmax(hc @ wo.T + self.p["bo"][own], yc)
-            logp[rows] += lq
+            q = h[rows] @ wo.T
+            q += self.p["bo"][own]
+            logp[rows] += self._softmax(q, y[rows] - self.edges[c], grads is not None)
             if grads is not None:
-                q[np.arange(len(rows)), yc] -= 1
-                grads["words"].append((own, q.T @ hc, q.sum(axis=0)))
+                grads["words"].append((own, q.T @ h[rows], q.sum(axis=0)))
                 dh[rows] += q @ wo
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
         if grads is not None:
-            grads["h"] = dh
-        return logp
+            grads["h"] = dh[back]
+        return logp[back]
 
     def backward(self, x: np.ndarray, kept: dict, dh_out: np.ndarray, grads: dict) -> None:
         d, w = HIDDEN, self.p["w"]
@@ -355,7 +399,7 @@ def lanes(lens: np.ndarray, most: int) -> list[list[int]]:
     return sorted(out, key=lambda lane: -int(lens[lane].sum()))
 
 
-def side_by_side(docs: list[np.ndarray], most: int = LANES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def side_by_side(docs: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, targets, document of each place) as (steps, lanes) with -1 beyond a lane's end, and lanes' lengths."""
     lens = np.array([len(d) for d in docs], np.int64)
     dealt = lanes(lens, most)
@@ -375,12 +419,12 @@ def score(model: Gru, docs: list[np.ndarray]) -> np.ndarray:
     out = np.zeros(len(docs))
     if not docs:
         return out
-    x, y, own, ends = side_by_side(docs)
+    x, y, own, ends = side_by_side(docs, SCORED)
     h = np.zeros((len(ends), HIDDEN), np.float32)
-    for lo in range(0, len(x), 4 * WINDOW):
+    for lo in range(0, len(x), WINDOW):
         n = int((ends > lo).sum())
-        states, h = model.forward(x[lo : lo + 4 * WINDOW, :n], h[:n])
-        target, who = y[lo : lo + 4 * WINDOW, :n].ravel(), own[lo : lo + 4 * WINDOW, :n].ravel()
+        states, h = model.forward(x[lo : lo + WINDOW, :n], h[:n])
+        target, who = y[lo : lo + WINDOW, :n].ravel(), own[lo : lo + WINDOW, :n].ravel()
         ok = target >= 0
         logp = model.output(states.reshape(-1, HIDDEN)[ok], target[ok])
         out += np.bincount(who[ok], logp, minlength=len(docs))
@@ -412,9 +456,9 @@ def learn(optimizer: Adagrad, docs: list[np.ndarray]) -> None:
     if not docs:
         return
     model = optimizer.model
-    # few enough lanes that the longest document is no longer than the others: a pass that ends on a few forgets the rest
-    lens = [len(d) for d in docs]
-    x, y, _, ends = side_by_side(docs, max(FEWEST, min(LANES, sum(lens) // max(lens))))
+    # stretches of a long document are trained on side by side, from a fresh state each
+    docs = [d[lo : lo + STRETCH] for d in docs for lo in range(0, len(d), STRETCH)]
+    x, y, _, ends = side_by_side(docs, max(FEWEST, min(LANES, sum(map(len, docs)) // STRETCH)))
     h = np.zeros((len(ends), HIDDEN), np.float32)
     for lo in range(0, len(x), WINDOW):
         n = int((ends > lo).sum())
@@ -444,14 +488,16 @@ def trained(blocks: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Gru:
     sc = blocks.sparkSession.sparkContext
     model = Gru.start(vocab)
     vocab_sent, words = sc.broadcast(vocab), model.words
-    # a copy is as large as the model: as many as there are cores, and of TOKENS each where there are fewer
-    tasks = max(1, min(sc.defaultParallelism, vocab.tokens // (rounds * TOKENS)))
+    # a copy is as large as the model: as many as there are cores, and of TASK tokens each where there are fewer
+    tasks = max(1, min(sc.defaultParallelism, vocab.tokens // (rounds * TASK)))
     for r in range(rounds):
         sent = sc.broadcast(model.tobytes())
 
         def run(batches, sent=sent):
             import pyarrow as pa
+            from pyspark import TaskContext
 
+            task = TaskContext.get().partitionId()
             optimizer, docs, size, seen = Adagrad(Gru.frombytes(sent.value, words)), [], 0, 0
             for batch in batches:
                 for lens, held, tokens, keys in zip(*batch.columns, strict=True):
@@ -467,7 +513,7 @@ def trained(blocks: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Gru:
             if seen:
                 data = optimizer.model.tobytes()
                 for part, at in enumerate(range(0, len(data), PART)):
-                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seen], pa.int64()), pa.array([data[at : at + PART]], pa.binary())], names=["part", "n", "model"])
+                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([task], pa.int32()), pa.array([seen], pa.int64()), pa.array([data[at : at + PART]], pa.binary())], names=["part", "task", "n", "model"])
 
         def mean(group):
             import pyarrow as pa
@@ -476,11 +522,15 @@ def trained(blocks: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Gru:
             flat = np.zeros(len(group.column("model")[0].as_py()) // 4)
             for k, x in zip(n, group.column("model"), strict=True):
                 flat += np.frombuffer(x.as_py(), "<f4") * (k / sum(n))
-            return pa.table({"part": group.column("part").slice(0, 1), "n": pa.array([sum(n)], pa.int64()), "model": pa.array([flat.astype("<f4").tobytes()], pa.binary())})
+            task = group.column("task")[0].as_py() // FAN
+            return pa.table({"part": group.column("part").slice(0, 1), "task": pa.array([task], pa.int32()), "n": pa.array([sum(n)], pa.int64()), "model": pa.array([flat.astype("<f4").tobytes()], pa.binary())})
 
-        schema = "part int, n long, model binary"
+        schema = "part int, task int, n long, model binary"
         mine = blocks.filter(F.pmod(F.xxhash64("block"), F.lit(rounds)) == r).select("lens", "held", "tokens", "keys").coalesce(tasks)
-        got = mine.mapInArrow(run, schema).groupBy("part").applyInArrow(mean, schema).collect()  # one model
+        copies, left = mine.mapInArrow(run, schema), tasks
+        while left > 1:
+            copies, left = copies.groupBy("part", F.floor(F.col("task") / FAN).alias("step")).applyInArrow(mean, schema), -(-left // FAN)
+        got = copies.collect()  # one model
         if got:
             model = Gru.frombytes(b"".join(x["model"] for x in sorted(got, key=lambda x: x["part"])), words)
     return model
@@ -539,8 +589,8 @@ def scored(blocks: DataFrame, totals: DataFrame, vocab: Vocabulary, model: Gru,
 
 def log_likelihoods(docs: DataFrame, held_out) -> DataFrame:
     """Scores of all documents by a model of those that aren't held out."""
-    buckets = shuffle_partitions(docs.sparkSession)
     blocks = store(tokenised(docs, held_out), "blocks").df
+    buckets = bucket_count(blocks)
     totals = store(counted(blocks, buckets), "counts").df
     vocab = Vocabulary(totals)
     model = trained(blocks, vocab)
