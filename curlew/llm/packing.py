@@ -1,8 +1,8 @@
 """Operator 2: best-fit packing by exact complements over the histogram of piece lengths.
 
 Only counts of lengths (at most `capacity` rows) are planned with: a length's gap is filled exactly by one,
-two or three lengths found in an index of the lengths still available, as many times at once as their counts
-allow; what no combination fills goes to the fullest sequence that still takes it. Each step uses up a
+two or three lengths, looked up by the gap in an index of the sums of one, two and three lengths, as many times at
+once as their counts allow; what no combination fills goes to the fullest sequence that still takes it. Each step uses up a
 length or a gap, so the plan has a few thousand patterns whatever the number of documents. Pieces then find
 their place by their rank among those of their length.
 
@@ -25,6 +25,51 @@ from curlew.llm.tokens import encoder, vocabulary
 CAPACITY = 2048
 
 
+class Sums:
+    """Index of the sums of one, two and three lengths that were available at first, by sum.
+
+    Pairs are held by their larger length, triples by their largest, both in descending order; a triple's other two
+    are a pair of the index. Counts only fall, so what is used up is passed over for good.
+    """
+
+    def __init__(self, left: np.ndarray, capacity: int):
+        self.left = left
+        have = np.flatnonzero(left[1:capacity]) + 1
+        self.pairs: dict[int, list[int]] = {}
+        for big in have[::-1].tolist():
+            for total in (big + have[(have <= big) & (have + big < capacity)]).tolist():
+                self.pairs.setdefault(total, []).append(big)
+        sums = np.array(sorted(self.pairs), np.int64)
+        self.triples: dict[int, list[int]] = {}
+        for big in have[::-1].tolist():
+            for total in (big + sums[(sums <= 2 * big) & (sums + big < capacity)]).tolist():
+                self.triples.setdefault(total, []).append(big)
+        self.pairs_at, self.triples_at = dict.fromkeys(self.pairs, 0), dict.fromkeys(self.triples, 0)
+
+    def single(self, gap: int, taken: tuple[int, ...]) -> tuple[int, ...] | None:
+        return (gap,) if self.left[gap] > taken.count(gap) else None
+
+    def pair(self, gap: int, taken: tuple[int, ...], most: int) -> tuple[int, ...] | None:
+        """Two lengths that sum to gap, the larger as large as possible and at most `most`, besides those taken."""
+        bigs = self.pairs.get(gap, ())
+        while (at := self.pairs_at.get(gap, 0)) < len(bigs) and not (self.left[bigs[at]] and self.left[gap - bigs[at]]):
+            self.pairs_at[gap] = at + 1
+        for big in bigs[self.pairs_at.get(gap, 0) :]:
+            small = gap - big
+            if big <= most and self.left[big] > taken.count(big) + (big == small) and self.left[small] > taken.count(small):
+                return big, small
+        return None
+
+    def triple(self, gap: int, taken: tuple[int, ...]) -> tuple[int, ...] | None:
+        bigs = self.triples.get(gap, ())
+        while (at := self.triples_at.get(gap, 0)) < len(bigs) and not self.left[bigs[at]]:
+            self.triples_at[gap] = at + 1
+        for big in bigs[self.triples_at.get(gap, 0) :]:
+            if self.left[big] > taken.count(big) and (rest := self.pair(gap - big, (*taken, big), big)):
+                return (big, *rest)
+        return None
+
+
 def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths in a sequence, times used) that use up counts[length] pieces of each length."""
     left = counts.astype(np.int64).copy()
@@ -32,36 +77,13 @@ def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]
     if left[capacity]:
         out.append(((capacity,), int(left[capacity])))
         left[capacity] = 0
-
-    def single(gap):
-        return (gap,) if gap > 0 and left[gap] else None
-
-    def pair(gap, most):
-        """Two available lengths that sum to gap, the larger as large as possible and at most `most`."""
-        if gap < 2:
-            return None
-        big = np.arange(min(gap - 1, most), (gap + 1) // 2 - 1, -1)
-        ok = (left[big] > 0) & (left[gap - big] > 0) & ((big * 2 != gap) | (left[big] > 1))
-        at = int(ok.argmax()) if len(ok) else 0
-        return (int(big[at]), int(gap - big[at])) if len(ok) and ok[at] else None
-
-    def triple(gap):
-        for a in range(gap - 2, (gap + 2) // 3 - 1, -1):
-            if left[a]:
-                left[a] -= 1
-                rest = pair(gap - a, a)
-                left[a] += 1
-                if rest:
-                    return (a, *rest)
-        return None
+    sums = Sums(left, capacity)
 
     bins: dict[int, list[list]] = {}  # gap: [pattern, times]
     for length in range(capacity - 1, 0, -1):
         while left[length]:
-            left[length] -= 1
-            gap = capacity - length
-            fill = single(gap) or pair(gap, capacity) or triple(gap)
-            left[length] += 1
+            gap, taken = capacity - length, (length,)
+            fill = sums.single(gap, taken) or sums.pair(gap, taken, capacity) or sums.triple(gap, taken)
             if not fill:
                 break
             pattern = (length, *fill)
@@ -171,7 +193,8 @@ def best_fit_pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
             yield out
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids + ", sequence_id long, offset long"
-    joined = made.join(base.select("part", "length", "base"), ["part", "length"]).select(*made.columns, "base")
+    # as many rows as tasks and lengths: too many to broadcast where there are many tasks
+    joined = made.join(base.select("part", "length", "base").hint("shuffle_hash"), ["part", "length"]).select(*made.columns, "base")
     return joined.mapInPandas(place, schema)
 
 

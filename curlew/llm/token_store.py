@@ -53,12 +53,9 @@ class EliasFano:
         marks[ones] = 1
         return cls(n, u, low, lower, np.packbits(marks, bitorder="little"), ones[::STEP].astype("<u4"))
 
-    def _lower(self, at: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(at), np.int64)
-        for k in range(self.low):
-            bit = at * self.low + k
-            out |= ((self.lower[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(np.int64) << k
-        return out
+    def _lower(self, i: int) -> int:
+        bit = i * self.low
+        return int.from_bytes(self.lower[bit >> 3 : (bit + self.low + 7) >> 3].tobytes(), "little") >> (bit & 7) & ((1 << self.low) - 1)
 
     def select(self, i: int) -> int:
         """Value i in O(STEP) steps from the nearest sample."""
@@ -73,16 +70,18 @@ class EliasFano:
         for _ in range(left):
             word &= word - 1
         one = (byte << 3) + (word & -word).bit_length() - 1
-        return (one - i) << self.low | int(self._lower(np.array([i], np.int64))[0])
+        return (one - i) << self.low | self._lower(i)
 
-    def decode(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.upper, bitorder="little"))[: self.n]
-        at = np.arange(self.n, dtype=np.int64)
-        return (ones - at) << self.low | self._lower(at)
+
+def id_width(ids: int) -> int:
+    """Bytes for one of so many ids."""
+    return 2 if ids <= 1 << 16 else 4
 
 
 def pack(ids: list[np.ndarray], id_bytes: int = 2) -> bytes:
-    """One segment from its documents' ids."""
+    """One segment from its documents' ids; an id that doesn't fit stops it."""
+    if max((int(x.max()) for x in ids if len(x)), default=0) >> 8 * id_bytes:
+        raise ValueError(f"an id needs more than {id_bytes} bytes")
     ends = np.cumsum([len(x) for x in ids], dtype=np.uint64)
     ef = EliasFano.encode(ends)
     flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
@@ -117,11 +116,11 @@ class Segment:
         return self.ids[a:b]
 
 
-def write_segments(docs: DataFrame, tokenizer: str, end_id: int, id_bytes: int = 2, segment_ids: int = SEGMENT_IDS, partitions: int | None = None) -> Stored:
+def write_segments(docs: DataFrame, tokenizer: str, end_id: int, segment_ids: int = SEGMENT_IDS, partitions: int | None = None) -> Stored:
     """Rows (part, seq, part_start, n_ids, nulls, doc_ids, segment), in ascending doc_id order by (part, seq).
 
     Documents are dealt by range of (doc_id, text's hash), so no range has to fit one key. Memory of a task: one
-    segment and one Arrow batch.
+    segment and one Arrow batch. Ids take as many bytes as the vocabulary needs.
     """
     spark = docs.sparkSession
     n = partitions or shuffle_partitions(spark)
@@ -135,6 +134,7 @@ def write_segments(docs: DataFrame, tokenizer: str, end_id: int, id_bytes: int =
 
         part, seq, before, at = TaskContext.get().partitionId(), 0, 0, 0
         enc, end = encoder(tokenizer), np.array([end_id], "<u4")
+        id_bytes = id_width(max(enc.tok.get_vocab_size(), end_id + 1))
         names, held = [], []
 
         def close():
@@ -176,9 +176,9 @@ def read_documents(segments: DataFrame) -> DataFrame:
         for pdf in batches:
             for first, nulls, names, data in zip(pdf["first"], pdf["nulls"], pdf["doc_ids"], pdf["segment"], strict=True):
                 seg = Segment(data)
-                ends = seg.ends.decode()
-                starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-                crcs = [zlib.crc32(seg.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends, strict=True)]
+                ends = np.array([seg.ends.select(i) for i in range(len(seg))], np.int64)
+                starts = np.append(0, ends[:-1]).astype(np.int64)
+                crcs = [zlib.crc32(seg.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pd.DataFrame({"doc_id": pd.array([None] * nulls + [int(x) for x in names], "Int64"), "start": starts + first, "n_tokens": ends - starts, "ids_crc32": np.array(crcs, np.int64)})
 
     return placed.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -33,9 +33,9 @@ class Encoder:
 
     Both tokenizer files encode the pieces of their pre-tokenizer one by one, so a piece's ids don't depend
     on its neighbours, and pieces never reach over a space that follows a word. Plain texts are cut at
-    spaces; all words of a batch are looked up together by 64-bit hash. A word not met before is cut into
-    pieces, and a piece not met before is encoded by the library's model. Any other text goes to the
-    library whole.
+    spaces; all words of a batch are looked up together by 64-bit hash, and their bytes are compared with those of
+    the word found. A word not met before is cut into pieces, and a piece not met before is encoded by the
+    library's model. Any other text, and one with a word whose hash another has too, goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -59,6 +59,7 @@ class Encoder:
     def _forget(self) -> None:
         self.keys, self.where = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.begin, self.size, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     @staticmethod
     def _pattern(kind, spec):
@@ -92,12 +93,18 @@ class Encoder:
         self.first = np.append(self.first, len(self.ids) + np.cumsum(count) - count)
         self.where = np.append(self.where, np.arange(len(self.count), len(self.count) + len(words), dtype=np.int32))
         self.count = np.append(self.count, count)
+        raw = [w.encode() for w in words]
+        size = np.array([len(w) for w in raw], np.int64)
+        self.begin = np.append(self.begin, len(self.bytes) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.bytes = np.append(self.bytes, np.frombuffer(b"".join(raw), np.uint8))
         self.ids = np.append(self.ids, np.frombuffer(b"".join(out), "<u4"))
         self.keys = np.append(self.keys, keys)
         order = np.argsort(self.keys, kind="stable")
         self.keys, self.where = self.keys[order], self.where[order]
 
-    def _plain_batch(self, texts: list[str]) -> list[bytes]:
+    def _plain_batch(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of plain texts; none for one with a word that shares its hash with another."""
         if len(self.keys) > WORDS:
             self._forget()
         data = [t.lower().encode() if self.lower else t.encode() for t in texts]
@@ -140,25 +147,34 @@ class Encoder:
         ids = self.ids[np.repeat(self.first[slot] - (upto - count), count) + np.arange(total)].tobytes()
         last = np.searchsorted(begin, ends)  # units up to each text's end
         stops = (np.append(0, upto)[last] * 4).tolist()
-        return [ids[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+        out = [ids[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+        same = self.size[slot] == size
+        known = self.begin[slot]
+        # a unit of another size is wrong whatever its bytes; they are read where they can be
+        other = self.bytes[np.minimum(known[unit] + place, len(self.bytes) - 1)] != flat[at]
+        if other.any() or not same.all():
+            wrong = np.union1d(unit[other], np.flatnonzero(~same))
+            for k in np.unique(np.searchsorted(last, wrong, "right")).tolist():
+                out[k] = None
+        return out
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
+        out: list[bytes] = [b""] * len(texts)
         held: list[int] = []
         size = 0
         for k, t in enumerate(texts):
-            if not self._plain(t):
-                out[k] = np.asarray(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-                continue
-            held.append(k)
-            size += len(t)
-            if size >= BATCH:
+            if self._plain(t):
+                held.append(k)
+                size += len(t)
+            else:
+                out[k] = self._whole(t)
+            if held and (size >= BATCH or k == len(texts) - 1):
                 for j, x in zip(held, self._plain_batch([texts[j] for j in held]), strict=True):
-                    out[j] = x
+                    out[j] = self._whole(texts[j]) if x is None else x
                 held, size = [], 0
-        if held:
-            for j, x in zip(held, self._plain_batch([texts[j] for j in held]), strict=True):
-                out[j] = x
         return out
 
 

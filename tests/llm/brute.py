@@ -21,22 +21,19 @@ def token_rows(docs, path, end_id):
 
 
 def check_packing(rows, docs, path, end_id, capacity):
-    """rows: (doc_id, piece, start, length, crc, sequence_id, offset). Returns the number of sequences."""
+    """rows: (doc_id, piece, start, length, crc, sequence_id, offset); docs may repeat. Returns the number of sequences."""
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    by_doc = defaultdict(list)
-    for r in rows:
-        by_doc[r[0]].append(r)
-    assert set(by_doc) == {d for d, _ in docs}
+    tok, by_text = Tokenizer.from_file(path), {}
+    want = Counter()
     for doc_id, text in docs:
-        ids = [*tok.encode(text or "", add_special_tokens=False).ids, end_id]
-        at = 0
-        for k, r in enumerate(sorted(by_doc[doc_id], key=lambda r: r[1])):
-            assert (r[1], r[2]) == (k, at) and r[4] == zlib.crc32(np.array(ids[at : at + r[3]], "<u4").tobytes())
-            assert r[3] == capacity or k == 0
-            at += r[3]
-        assert at == len(ids) and (len(ids) > capacity or len(by_doc[doc_id]) == 1)
+        if text not in by_text:
+            ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, end_id], "<u4")
+            first = len(ids) % capacity or capacity if len(ids) > capacity else len(ids)
+            cuts = [0, *range(first, len(ids) + 1, capacity)]
+            by_text[text] = [(k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+        want.update((doc_id, *piece) for piece in by_text[text])
+    assert Counter(tuple(r[:5]) for r in rows) == want
     spans = defaultdict(list)
     for r in rows:
         spans[r[5]].append((r[6], r[3]))

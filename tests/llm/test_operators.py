@@ -60,16 +60,20 @@ def test_encoder_equals_library(name):
     assert encoder(vocabulary(name)).encode(texts) == want  # now from its memory
 
 
+def packed_rows(spark, folder):
+    return [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, r.sequence_id, r.offset) for r in rows(spark, "op2_best_fit_packing", folder)]
+
+
 def test_op2_packing(spark, folder):
-    docs = dict(docs_of(folder))
-    got = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, r.sequence_id, r.offset) for r in rows(spark, "op2_best_fit_packing", folder)]
-    if folder != SF:  # one row is repeated: its pieces come twice
-        assert sorted(r[:5] for r in got if r[0] == 4)[::2] == sorted(r[:5] for r in got if r[0] == 4)[1::2]
-        return
-    n = brute.check_packing(got, list(docs.items()), vocabulary("byte_bpe_50k.json"), 0, 2048)
+    got = packed_rows(spark, folder)
+    n = brute.check_packing(got, docs_of(folder), vocabulary("byte_bpe_50k.json"), 0, 2048)
     assert n <= 1.02 * np.ceil(sum(r[3] for r in got) / 2048) + 1
 
 
+def test_op2_null_ids(spark, nulls):
+    brute.check_packing(packed_rows(spark, nulls), docs_of(nulls), vocabulary("byte_bpe_50k.json"), 0, 2048)
+
+
 def test_op2_plan_uses_every_piece():
     rng = np.random.default_rng(3)
     for _ in range(20):
@@ -241,3 +245,48 @@ def test_empty_tables(spark, empty, name):
 def test_null_ids(spark, nulls, name):
     got = QUERIES[name](spark, nulls)
     assert got.count() == 10 and got.filter(F.col("doc_id").isNull()).count() == 2
+
+
+def test_encoder_survives_equal_hashes(monkeypatch):
+    """Words that share a hash (here by their number of letters alone) still get their own ids."""
+    from tokenizers import Tokenizer
+
+    from curlew.llm import tokens
+
+    monkeypatch.setattr(tokens, "_BYTE", np.ones(256, np.uint64))
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        tok, enc = Tokenizer.from_file(vocabulary(name)), tokens.Encoder(vocabulary(name))
+        texts = ["some words here", "some", "then other ones", "", "same lens: ab cd ef", "ab", "cd"]
+        for _ in range(2):
+            assert enc.encode(texts) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_op1_many_segments_and_wide_ids(spark, odd):
+    """Segments of few ids, with a document longer than one; ids over two bytes stop a narrow segment."""
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    stored = token_store.write_segments(docs, vocabulary("word_bpe_49k.json"), 2, segment_ids=50, partitions=3)
+    assert stored.df.count() > 12
+    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_store.read_documents(stored.df).collect())
+    assert got == sorted(brute.token_rows(docs_of(odd), vocabulary("word_bpe_49k.json"), 2))
+    wide = [np.array([70_000, 1], "<u4"), np.array([5], "<u4")]
+    with pytest.raises(ValueError, match="more than 2 bytes"):
+        token_store.pack(wide)
+    seg = token_store.Segment(token_store.pack(wide, token_store.id_width(70_001)))
+    assert [seg.document(k).tolist() for k in range(2)] == [[70_000, 1], [5]]
+
+
+def test_op2_index_finds_what_a_scan_finds():
+    rng = np.random.default_rng(11)
+    for _ in range(40):
+        left = np.zeros(41, np.int64)
+        for x in rng.integers(1, 40, 9):
+            left[x] += rng.integers(1, 3)
+        sums = packing.Sums(left, 40)
+        items = [k for k in range(41) for _ in range(left[k])]
+        from itertools import combinations
+
+        pairs, triples = ({sum(c) for c in combinations(items, n)} for n in (2, 3))
+        for gap in range(1, 40):
+            assert (sums.single(gap, ()) is not None) == bool(left[gap])
+            for found, all_of in ((sums.pair(gap, (), 40), pairs), (sums.triple(gap, ()), triples)):
+                assert (found is not None) == (gap in all_of) and (found is None or (sum(found) == gap and not Counter(found) - Counter(items)))
