@@ -34,7 +34,9 @@ HIDDEN, RARE = 16, 16
 #: Count from which a word may be modelled by itself, and the most such words: about 130 MB a worker with the optimizer.
 LEAST, MOST = 5, 1 << 18
 WINDOW = 16
-LANES, FEWEST, SCORED = 512, 16, 1024  # side by side in training, and in scoring
+LANES, FEWEST = 512, 16
+#: Tokens scored in one step: fewer lanes, as where only the longest documents are left, take longer windows.
+STEP = 8192
 #: Tokens of a document after which training goes on from a fresh state; scoring never does.
 STRETCH = 4096
 ROUNDS = 3
@@ -299,7 +301,7 @@ class Gru:
     def forward(self, x: np.ndarray, h: np.ndarray, keep: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States after each input of x (steps, lanes) from state h; inputs of word 0 start a document."""
         w, d = self.p["w"], HIDDEN
-        gates = self.p["u"][x]
+        gates = self.p["u"].take(x, axis=0)
         fresh = (x != 0).astype(np.float32)[:, :, None]
         out = np.empty((*x.shape, d), np.float32)
         if keep is not None:
@@ -345,7 +347,7 @@ class Gru:
         logp = self._softmax(p, cls, grads is not None)
         if grads is not None:
             grads["wc"], grads["bc"], dh = h.T @ p, p.sum(axis=0), p @ self.p["wc"].T
-            grads["words"] = []
+            grads["wo"], grads["bo"] = np.zeros_like(self.p["wo"]), np.zeros_like(self.p["bo"])
         edges = np.searchsorted(cls, np.arange(self.classes + 1))
         for c in np.flatnonzero(np.diff(edges)).tolist():
             rows, own = slice(edges[c], edges[c + 1]), slice(self.edges[c], self.edges[c + 1])
@@ -354,7 +356,8 @@ class Gru:
             q += self.p["bo"][own]
             logp[rows] += self._softmax(q, y[rows] - self.edges[c], grads is not None)
             if grads is not None:
-                grads["words"].append((own, q.T @ h[rows], q.sum(axis=0)))
+                np.matmul(q.T, h[rows], out=grads["wo"][own])
+                np.sum(q, axis=0, out=grads["bo"][own])
                 dh[rows] += q @ wo
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
@@ -380,7 +383,7 @@ class Gru:
         grads["w"] = kept["hp"].reshape(-1, d).T @ da.reshape(-1, 3 * d)
         da[:, :, 2 * d :] = dn_in
         flat = x.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat.astype(np.uint16) if len(self.p["u"]) <= 1 << 16 else flat, kind="stable")
         rows = flat[order]
         first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
         grads["u_rows"], grads["u"] = rows[first], np.add.reduceat(da.reshape(-1, 3 * d)[order], first, axis=0)
@@ -419,12 +422,13 @@ def score(model: Gru, docs: list[np.ndarray]) -> np.ndarray:
     out = np.zeros(len(docs))
     if not docs:
         return out
-    x, y, own, ends = side_by_side(docs, SCORED)
-    h = np.zeros((len(ends), HIDDEN), np.float32)
-    for lo in range(0, len(x), WINDOW):
+    x, y, own, ends = side_by_side(docs, LANES)
+    h, lo = np.zeros((len(ends), HIDDEN), np.float32), 0
+    while lo < len(x):
         n = int((ends > lo).sum())
-        states, h = model.forward(x[lo : lo + WINDOW, :n], h[:n])
-        target, who = y[lo : lo + WINDOW, :n].ravel(), own[lo : lo + WINDOW, :n].ravel()
+        hi = lo + max(WINDOW, STEP // n)
+        states, h = model.forward(x[lo:hi, :n], h[:n])
+        target, who, lo = y[lo:hi, :n].ravel(), own[lo:hi, :n].ravel(), hi
         ok = target >= 0
         logp = model.output(states.reshape(-1, HIDDEN)[ok], target[ok])
         out += np.bincount(who[ok], logp, minlength=len(docs))
@@ -439,16 +443,22 @@ class Adagrad:
         """Moves by summed gradients; n: tokens of a full step, so that steps of few lanes weigh less."""
         scale = max(1.0, math.sqrt(n))
         self._move("u", grads["u_rows"], grads["u"], scale)
-        for k in ("w", "wc", "bc"):
+        for k in ("w", "wc", "bc", "wo", "bo"):
             self._move(k, slice(None), grads[k], scale)
-        for own, wo, bo in grads["words"]:
-            self._move("wo", own, wo, scale)
-            self._move("bo", own, bo, scale)
-
-    def _move(self, name: str, where, grad: np.ndarray, scale: float) -> None:
-        g = np.clip(grad / np.float32(scale), -5, 5)
-        self.sums[name][where] += g * g
-        self.model.p[name][where] -= self.rate * g / np.sqrt(self.sums[name][where])
+
+    def _move(self, name: str, where, g: np.ndarray, scale: float) -> None:
+        g *= np.float32(1 / scale)
+        np.minimum(g, 5, out=g)
+        np.maximum(g, -5, out=g)
+        total = self.sums[name][where]
+        total += g * g
+        g *= np.float32(self.rate)
+        g /= np.sqrt(total)
+        if isinstance(where, slice):
+            self.model.p[name] -= g
+        else:
+            self.sums[name][where] = total
+            self.model.p[name][where] -= g
 
 
 def learn(optimizer: Adagrad, docs: list[np.ndarray]) -> None:

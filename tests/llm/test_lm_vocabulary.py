@@ -104,10 +104,7 @@ def test_gradients_equal_differences():
     model.backward(x, kept, dh.reshape(*x.shape, lm.HIDDEN), grads)
     full = {k: np.zeros_like(v) for k, v in model.p.items()}
     full["u"][grads["u_rows"]] = grads["u"]
-    for k in ("w", "wc", "bc"):
-        full[k] = grads[k]
-    for own, wo, bo in grads["words"]:
-        full["wo"][own], full["bo"][own] = wo, bo
+    full |= {k: grads[k] for k in ("w", "wc", "bc", "wo", "bo")}
     for name, g in full.items():
         for at in [np.unravel_index(k, g.shape) for k in rng.choice(g.size, min(12, g.size), replace=False)]:
             was, step = model.p[name][at], np.float32(1e-2)
