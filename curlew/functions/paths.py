@@ -27,6 +27,19 @@ def at(df: DataFrame, path: str) -> Column:
     return F.lit(None).cast("string")
 
 
+def lookup(df: DataFrame, path: str) -> Column:
+    """The value as a string: an empty one where the path leads nowhere, null for a null that is there."""
+    head, _, rest = path.partition(".")
+    if head not in df.columns:
+        return F.lit("")
+    if not rest:
+        return at(df, path)
+    if df.schema[head].dataType.typeName() != "string":
+        return F.coalesce(at(df, path), F.lit(""))
+    there = F.try_variant_get(F.try_parse_json(head), "$." + rest, "variant").isNotNull()
+    return F.when(there, at(df, path)).otherwise(F.lit(""))
+
+
 def values(df: DataFrame, path: str) -> Column:
     """A2: the path's values: a list's stripped non-missing items, a scalar as it is, MISSING for none."""
     raw = at(df, path)

@@ -6,7 +6,6 @@ Each check returns the rows that break its rule (or the figures it is about), so
 from __future__ import annotations
 
 import ast
-import json
 
 import numpy as np
 import pandas as pd
@@ -49,6 +48,11 @@ def sparse_buckets(df: DataFrame, field: Column, expected: DataFrame, least: int
     return expected.join(counts, "value", "left").filter(n < least).select("value", n.alias("n"), F.when(n == 0, "zero").otherwise("sparse").alias("finding"))
 
 
+def top_buckets(df: DataFrame, field: Column, most: int = 3) -> DataFrame:
+    """Q4: the `most` largest buckets, ties by value: (value, n)."""
+    return df.groupBy(field.alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(most)
+
+
 def common_words(df: DataFrame, text: Column, at_most: int) -> DataFrame:
     """Words in at most `at_most` records: what Q5 calls decisive ones is our reading of the rule."""
     each = df.select(F.explode(F.array_distinct(tokens(text))).alias("word"))
@@ -62,6 +66,12 @@ def context_leakage(df: DataFrame, context: Column, answer: Column, at_most: int
     return pairs.join(rare, "word").groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > hits)
 
 
+def leakage_rate(df: DataFrame, leaking: DataFrame, percent: int = 15) -> DataFrame:
+    """Q5: (total, n, severity): high where over `percent` % of all records leak."""
+    both = df.agg(F.count("*").alias("total")).join(F.broadcast(leaking.agg(F.count("*").alias("n"))))
+    return both.select("total", "n", F.when(F.col("n") * 100 > F.col("total") * percent, "high").when(F.col("n") > 0, "low").otherwise("pass").alias("severity"))
+
+
 def shape(text: Column) -> Column:
     """Q6, Q15, Q25: a response's outer shape, the first that fits."""
     out = F.lit("prose")
@@ -165,8 +175,23 @@ def too_short(df: DataFrame, text: Column, intent: Column, minima: dict[str, int
     return df.select("id", intent.alias("intent"), words.cast("long").alias("n_words"), least.alias("least")).filter("n_words < least").select("id", "intent", "n_words")
 
 
+def closed(text: Column) -> Column:
+    """Whether SQL text closes its string literals and matches its parentheses outside of them."""
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"'(?:[^']|'')*+'", "")
+    steps = F.transform(F.regexp_extract_all(bare, F.lit("[()]"), F.lit(0)), lambda p: F.when(p == "(", 1).otherwise(-1))
+    # depth, and the lowest it has been
+    walk = F.aggregate(steps, F.struct(F.lit(0).alias("d"), F.lit(0).alias("low")), lambda a, x: F.struct((a["d"] + x).alias("d"), F.least(a["low"], a["d"] + x).alias("low")))
+    return ~F.contains(bare, F.lit("'")) & (walk["d"] == 0) & (walk["low"] == 0)
+
+
+def quoted(text: Column) -> Column:
+    """Whether shell text closes its quotes and has no empty expansion."""
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?s)'[^']*+'|\"(?:[^\"\\]|\\.)*+\"|\\.", "")
+    return ~bare.rlike("['\"]") & ~F.coalesce(text, F.lit("")).rlike(r"\$\{\s*\}|\$\(\s*\)")
+
+
 def parses(text: Column, kind: Column) -> Column:
-    """Q17: whether code of the kind (python, json) parses; other kinds count as parsing. JSON needs no Python."""
+    """Q17: whether code of the kind (python, json, sql, shell) parses; other kinds count as parsing. Only Python code needs Python."""
 
     @F.pandas_udf("boolean")
     def python_ok(s: pd.Series) -> pd.Series:
@@ -179,7 +204,7 @@ def parses(text: Column, kind: Column) -> Column:
 
         return s.map(one).astype(bool)
 
-    return F.when(kind == "json", F.try_parse_json(text).isNotNull()).when(kind == "python", python_ok(text)).otherwise(F.lit(True))
+    return F.when(kind == "json", F.try_parse_json(text).isNotNull()).when(kind == "python", python_ok(text)).when(kind == "sql", closed(text)).when(kind == "shell", quoted(text)).otherwise(F.lit(True))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 8) -> DataFrame:
@@ -322,8 +347,3 @@ def bands(df: DataFrame, value: Column, wanted: DataFrame) -> DataFrame:
     total = df.agg(F.count("*").alias("total"))
     n = F.coalesce("n", F.lit(0))
     return wanted.join(counts, "value", "left").join(F.broadcast(total)).select("value", n.alias("n"), "total", F.when(n * 100 < F.col("total") * F.col("low"), "under").when(n * 100 > F.col("total") * F.col("high"), "over").otherwise("ok").alias("finding"))
-
-
-def load_rules(path: str) -> dict:
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)

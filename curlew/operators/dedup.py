@@ -20,9 +20,11 @@ def shingled(records: DataFrame, text: Column) -> DataFrame:
     return records.select("id", "seq", text_hash(text).alias("hash"), F.transform(shingles_of(tokens(text)), lambda s: F.xxhash64(s)).alias("sh"))
 
 
-def similar_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+def similar_pairs(sets: DataFrame, threshold: float, after: int | None = None) -> DataFrame:
     """(a, b, inter, uni) with seq a < seq b and Jaccard >= threshold, of texts with any shingle; ids are seqs.
 
+    after: only pairs with seq b over it.
+
     The prefix of a set of n is its n - ceil(t*n) + 1 rarest shingles; the small epsilon keeps products such as
     0.55 * 100 from rounding a place too high.
     """
@@ -37,6 +39,8 @@ def similar_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     w = Window.partitionBy("seq").orderBy("df", "h")
     prefix = ranked.withColumn("k", F.row_number().over(w)).filter((F.col("k") <= keep) & (F.col("df") > 1)).select("seq", "n", "h")
     a, b = prefix.toDF("a", "na", "h"), prefix.toDF("b", "nb", "h")
+    if after is not None:
+        b = b.filter(F.col("b") > after)
     met = a.join(b, "h").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)).select("a", "b").distinct()
     both = met.join(keyed.select(F.col("seq").alias("a"), F.col("sh").alias("sa")), "a").join(keyed.select(F.col("seq").alias("b"), F.col("sh").alias("sb")), "b")
     inter = F.size(F.array_intersect("sa", "sb")).alias("inter")
@@ -87,6 +91,13 @@ def greedy(pairs: DataFrame) -> DataFrame:
     return done if done is not None else nodes.withColumn("kept", F.lit(True))
 
 
+def _most_similar(pairs: DataFrame, verdict: DataFrame) -> DataFrame:
+    """seq, kept_seq, score: of each dropped node the kept neighbour of the highest score, the earliest of equals."""
+    scored = pairs.join(verdict.filter("kept").select(F.col("node").alias("a")), "a").join(verdict.filter("NOT kept").select(F.col("node").alias("b")), "b")
+    best = scored.groupBy("b").agg(F.max(F.struct((F.col("inter") / F.col("uni")).alias("score"), (-F.col("a")).alias("m"))).alias("x"))
+    return best.select(F.col("b").alias("seq"), (-F.col("x.m")).alias("kept_seq"), F.col("x.score").alias("score"))
+
+
 def find_duplicates(records: DataFrame, text: Column, threshold: float = 0.85) -> DataFrame:
     """D3: duplicate_id, kept_id, reason, score (unrounded) of every record that isn't kept.
 
@@ -99,8 +110,7 @@ def find_duplicates(records: DataFrame, text: Column, threshold: float = 0.85) -
     first = scratch.put(first)
     pairs = scratch.put(similar_pairs(first, threshold))
     verdict = scratch.put(greedy(pairs))
-    scored = pairs.join(verdict.filter("kept").select(F.col("node").alias("a")), "a").join(verdict.filter("NOT kept").select(F.col("node").alias("b")), "b")
-    best = scored.groupBy("b").agg(F.max(F.struct((F.col("inter") / F.col("uni")).alias("score"), (-F.col("a")).alias("m"))).alias("x")).select(F.col("b").alias("seq"), (-F.col("x.m")).alias("kept_seq"), F.col("x.score").alias("score"))
+    best = _most_similar(pairs, verdict)
     bare = first.filter(F.size("sh") == 0)
     least = bare.agg(F.min("seq").alias("kept_seq"))
     best = best.union(bare.join(F.broadcast(least)).filter("seq > kept_seq").select("seq", "kept_seq", F.lit(1.0)))
@@ -124,12 +134,32 @@ def deduplicate(records: DataFrame, text: Column, threshold: float = 0.85, limit
 
 
 def import_duplicates(existing: DataFrame, batch: DataFrame, text: Column, threshold: float = 0.85) -> DataFrame:
-    """Duplicates in a batch against stored records and the batch's earlier ones; seeded rows don't take part."""
-    old = existing.select("id", "seq", text.alias("_text"))
-    top = existing.agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("top"))
-    new = batch.filter("status <> 'seeded'").join(F.broadcast(top)).select("id", (F.col("seq") + F.col("top") + 1).alias("seq"), text.alias("_text"))
-    found = find_duplicates(old.unionByName(new), F.col("_text"), threshold)
-    return found.join(batch.select(F.col("id").alias("duplicate_id")), "duplicate_id", "left_semi")
+    """duplicate_id, kept_id, reason, score of a batch's records against all stored ones and its earlier kept ones.
+
+    Every stored record counts, whether or not it is itself like another; seeded rows of the batch don't take part. An
+    exact copy names the last stored record with its text, else the batch's first; a near one the most similar, the
+    earliest of equals. A stored record whose id is in the batch is about to be replaced and doesn't count.
+    """
+    scratch = Scratch(existing.sparkSession)
+    new = batch.filter("status <> 'seeded' AND trim(id) <> ''")
+    old = existing.filter("trim(id) <> ''").join(batch.select("id"), "id", "left_anti").select("id", "seq", text.alias("_text"))
+    top = old.agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0]
+    low = new.agg(F.coalesce(F.min("seq"), F.lit(0))).first()[0]
+    every = old.unionByName(new.select("id", (F.col("seq") - low + top + 1).alias("seq"), text.alias("_text")))
+    rows = scratch.put(shingled(every, F.col("_text")))
+    stored = F.col("seq") <= top
+    first = scratch.put(rows.groupBy("hash").agg(F.min("seq").alias("seq"), F.min_by("id", "seq").alias("id"), F.min_by("sh", "seq").alias("sh"), F.max_by("id", F.when(stored, F.col("seq"))).alias("last_stored")))
+    pairs = scratch.put(similar_pairs(first, threshold, after=top))
+    # pairs end in a new text, so stored ones are never dropped
+    near = _most_similar(pairs, scratch.put(greedy(pairs)))
+    bare = first.filter(F.size("sh") == 0)
+    least = bare.agg(F.min("seq").alias("kept_seq"))
+    near = near.union(bare.filter(~stored).join(F.broadcast(least)).filter("seq > kept_seq").select("seq", "kept_seq", F.lit(1.0)))
+    named = near.join(first.select(F.col("seq").alias("kept_seq"), F.col("id").alias("near_id")), "kept_seq").select(F.col("seq").alias("first_seq"), "near_id", "score")
+    own = rows.filter(~stored).join(first.select("hash", F.col("seq").alias("first_seq"), F.col("id").alias("first_id"), "last_stored"), "hash").join(named, "first_seq", "left")
+    exact = F.coalesce("last_stored", F.when((F.col("seq") > F.col("first_seq")) & F.col("near_id").isNull(), F.col("first_id")))
+    found = own.select(F.col("id").alias("duplicate_id"), F.coalesce(exact, "near_id").alias("kept_id"), F.when(exact.isNotNull(), "exact").otherwise("near").alias("reason"), F.when(exact.isNotNull(), 1.0).otherwise(F.col("score")).alias("score"))
+    return found.filter("kept_id IS NOT NULL AND kept_id <> duplicate_id")
 
 
 def effective(records: DataFrame, text: Column, threshold: float = 0.85) -> DataFrame:

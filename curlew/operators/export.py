@@ -8,8 +8,8 @@ import os
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curlew.functions.paths import at
-from curlew.functions.text import blank
+from curlew.functions.paths import lookup
+from curlew.functions.text import ascii_json, blank
 from curlew.operators.coverage import distributions
 from curlew.operators.split import split
 from curlew.operators.validate import flat_schema_errors
@@ -57,10 +57,10 @@ def huggingface_lines(df: DataFrame) -> DataFrame:
 
 
 def flat(df: DataFrame, schema: dict) -> DataFrame:
-    """E5: a column a schema entry; paths that lead nowhere give an empty string."""
+    """E5: a column a schema entry; paths that lead nowhere give an empty string, nulls stay null."""
     if errors := flat_schema_errors(schema):
         raise ValueError("; ".join(errors))
-    return df.select(*[F.coalesce(at(df, c["source"].strip()), F.lit("")).alias(c["name"].strip()) for c in schema["columns"]])
+    return df.select(*[lookup(df, c["source"].strip()).alias(c["name"].strip()) for c in schema["columns"]])
 
 
 def canonical_lines(df: DataFrame) -> DataFrame:
@@ -69,7 +69,8 @@ def canonical_lines(df: DataFrame) -> DataFrame:
 
 
 def write_jsonl(lines: DataFrame, path: str, files: int | None = None) -> None:
-    """K1: one object a line; escaped to ASCII beforehand where a reader needs it."""
+    """K1: one object a line, in ASCII: other characters are escaped."""
+    lines = lines.select(ascii_json(F.col("value")).alias("value"))
     (lines if files is None else lines.coalesce(files)).write.mode("overwrite").text(path)
 
 

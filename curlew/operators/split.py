@@ -21,24 +21,23 @@ def cluster_key(df: DataFrame) -> Column:
 
 
 def fold(sizes: list[tuple[str, int]], target: int, taken: int) -> tuple[list[str], int]:
-    """(clusters, sum) that join the test side after `taken` records: in order, while short of the target and not over 1.5 times it."""
+    """(clusters, sum) that join the test side after `taken` records, in order, while it is short of the target.
+
+    One that brings it over 1.5 times the target is passed over, but not while the test side is empty.
+    """
     out = []
     for key, n in sizes:
         if taken >= target:
             break
-        if taken + n <= target * 1.5:
+        if not taken or taken + n <= target * 1.5:
             out.append(key)
             taken += n
     return out, taken
 
 
 def choose(sizes: list[tuple[str, int]], total: int, ratio: float) -> list[str]:
-    """The test clusters: in the given order, while short of the target and not over 1.5 times it; else the first large enough, else the first."""
-    target = max(1, int(total * ratio))
-    out, _ = fold(sizes, target, 0)
-    if not out and sizes:
-        out = [next((k for k, n in sizes if n >= target), sizes[0][0])]
-    return out
+    """The test clusters of all, in the given order."""
+    return fold(sizes, max(1, int(total * ratio)), 0)[0]
 
 
 def chosen_clusters(sizes: DataFrame, total: int, ratio: float) -> DataFrame:
@@ -73,8 +72,6 @@ def chosen_clusters(sizes: DataFrame, total: int, ratio: float) -> DataFrame:
         keys, taken = fold([(r["_key"], r["n"]) for r in part.select("_key", "n").collect()], target, taken)
         if keys:
             out = out.union(scratch.put(spark.createDataFrame([(x,) for x in keys], schema)))
-    if not taken:  # every cluster is over 1.5 times the target
-        out = spark.createDataFrame(sizes.orderBy("h", "_key").limit(1).select("_key").collect(), schema)
     return out
 
 

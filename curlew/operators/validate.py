@@ -11,6 +11,7 @@ from curlew.plans.plan import Plan, strings
 
 TASKS, PIPELINE = ("sft", "dpo"), ("pending", "pass", "fail", "rewrite")
 SOURCES = ("generated", "url_reference", "raw_dataset", "internet_research", "manual")
+#: The refusal patterns in the order they are tried, and the placeholders of drafts.
 REFUSALS = (r"\bi cannot\b", r"\bi can'?t\b", r"\bi will not\b", r"\bi apologize, but\b", r"\bagainst my ethical guidelines\b", r"\bas an ai assistant\b", r"\bas an ai language model\b", r"\bi am unable to comply\b", r"\bi cannot fulfill this\b", r"\bi can'?t help with that\b", r"\bi must refuse\b")
 PLACEHOLDER = r"(?iuU)\[PENDING_[A-Z_]+\]"
 

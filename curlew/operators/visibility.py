@@ -15,10 +15,14 @@ from curlew.functions.text import strip
 from curlew.plans.plan import Plan, strings
 
 REPLACEMENT = "[redacted]"
+#: Response fields that automatic rules leave alone.
 EXCLUDED = ("confidence", "reason", "rationale", "reasoning", "explanation", "evidence", "next_step", "next_steps", "summary", "details", "note", "notes", "fix", "fixes", "mitigation", "mitigations", "recommendation", "recommendations", "action", "actions")
-_SHARED = ("Trace fingerprint:", "Case fingerprint:", "Focus parameter:", "Candidate ", "Analysis note:")
 _AUTO = {"min_hits": 2, "exclude_fields": sorted(EXCLUDED)}
-DEFAULT = {"instruction": {"remove_line_prefixes": list(_SHARED), "auto_remove_lines_with_response_fields": _AUTO}, "context": {"remove_line_prefixes": [*_SHARED, "Validation lens:", "Triage lens:"], "auto_remove_lines_with_response_fields": _AUTO}}
+#: The rules that hold where a plan gives none.
+DEFAULT = {
+    "instruction": {"remove_line_prefixes": ["Trace fingerprint:", "Case fingerprint:", "Focus parameter:", "Candidate ", "Analysis note:"], "auto_remove_lines_with_response_fields": _AUTO},
+    "context": {"remove_line_prefixes": ["Trace fingerprint:", "Case fingerprint:", "Focus parameter:", "Candidate ", "Validation lens:", "Triage lens:", "Analysis note:"], "auto_remove_lines_with_response_fields": _AUTO},
+}
 _BREAK = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85  ]"
 
 

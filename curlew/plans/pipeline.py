@@ -20,11 +20,16 @@ from curlew.sources.store import Store
 
 
 def ingest(raw: DataFrame, source_type: str = "manual", allow_injections: bool | None = None, signals: tuple = (), run_id: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Raw JSON rows to (records, rejects); malformed rows and invalid records are rejected with their errors."""
-    records = with_ids(sanitize(normalize(raw, source_type=source_type), resolve_allowed(allow_injections, *signals)))
+    """Raw JSON rows to (records, rejects); malformed rows and invalid records are rejected with their errors.
+
+    Records are written between their projections and the checks: a filter on the checks would else be pushed below
+    the projections, with all their expressions copied into it.
+    """
+    scratch = Scratch(raw.sparkSession)
+    records = with_ids(scratch.put(sanitize(scratch.put(normalize(raw, source_type=source_type), keep=True), resolve_allowed(allow_injections, *signals)), keep=True))
     status = F.when(F.col("status").isin("", "pending"), infer_status(F.col("response"))).otherwise(F.col("status"))
     records = records.withColumn("status", status).withColumn("run_id", F.coalesce("run_id", F.lit(run_id).cast("string")))
-    return split_valid(records)
+    return split_valid(scratch.put(records, keep=True))
 
 
 def active_statuses(skip_verify: bool, reviewed: bool) -> tuple[str, ...]:

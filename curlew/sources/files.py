@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from curlew.operators.validate import flat_schema_errors
 
 FORMATS = {".jsonl": "jsonl", ".ndjson": "jsonl", ".json": "json", ".csv": "csv"}
-TEXT_SUFFIXES = (".md", ".txt", ".py", ".js", ".ts", ".tsx", ".jsx", ".java", ".go", ".rs", ".rb", ".php", ".c", ".cpp", ".h", ".cs", ".sh", ".sql", ".html", ".css", ".json", ".yaml", ".yml", ".toml", ".rst")
-SKIPPED_DIRS = (".git", "node_modules", "__pycache__", ".venv", "venv", "dist", "build", ".idea", ".vscode")
+#: Which files are read and which folders are passed over.
+TEXT_SUFFIXES = (".md", ".txt", ".rst", ".py", ".js", ".ts", ".java", ".go", ".rb", ".rs", ".c", ".cpp", ".h", ".cs", ".sh", ".bash", ".yaml", ".yml", ".toml", ".ini", ".cfg", ".json", ".html", ".xml", ".sql")
+SKIPPED_DIRS = (".git", ".venv", "venv", "node_modules", "__pycache__", ".mypy_cache", ".pytest_cache", "dist", "build", ".eggs")
 
 
 def detect_format(path: str) -> str:
@@ -50,9 +51,9 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header, strings only, quoted line ends."""
+    """Header, strings only, quoted line ends; an empty cell is an empty string."""
     df = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"', nullValue="\0", emptyValue="")
-    return _numbered(df).select(F.to_json(F.struct(*df.columns)).alias("raw"), "seq")
+    return _numbered(df).select(F.to_json(F.struct(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns if c != "seq"])).alias("raw"), "seq")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,8 @@
-"""The record store: Parquet snapshots behind a pointer file.
+"""The record store: Parquet snapshots behind numbered pointers.
 
-Every write makes a new snapshot from the old one and then switches the pointer, so readers see either; a job
-that fails leaves the old snapshot in place.
+Every write makes a new snapshot from the old one, then a pointer of the next number, written aside and renamed into
+place: readers take the highest number and so see either snapshot whole, and of two writers that started from one
+snapshot the second fails. A job that fails leaves the old snapshot in place. Snapshots before the last KEEP go.
 """
 
 from __future__ import annotations
@@ -12,6 +13,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curlew.sources.scratch import delete
+
+
+#: Snapshots that stay for readers that began on them.
+KEEP = 3
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str, key: str = "id"):
@@ -19,22 +26,34 @@ class Store:
         self._fs_path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._fs_path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _pointer(self) -> str | None:
-        path = self._fs_path(f"{self.root}/CURRENT")
-        if not self._fs.exists(path):
-            return None
-        return json.loads(self.spark.read.text(f"{self.root}/CURRENT", wholetext=True).first()[0])["snapshot"]
+    def _pointers(self) -> list[int]:
+        folder = self._fs_path(f"{self.root}/_pointers")
+        if not self._fs.exists(folder):
+            return []
+        return sorted(int(f.getPath().getName()) for f in self._fs.listStatus(folder) if f.getPath().getName().isdigit())
+
+    def _snapshot(self, number: int) -> str:
+        return json.loads(self.spark.read.text(f"{self.root}/_pointers/{number:010d}", wholetext=True).first()[0])["snapshot"]
 
     def read(self) -> DataFrame | None:
-        name = self._pointer()
-        return None if name is None else self.spark.read.parquet(f"{self.root}/{name}")
+        numbers = self._pointers()
+        return self.spark.read.parquet(f"{self.root}/{self._snapshot(numbers[-1])}") if numbers else None
 
     def _switch(self, df: DataFrame) -> None:
+        numbers = self._pointers()
+        number = numbers[-1] + 1 if numbers else 0
         name = f"snapshot-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.root}/{name}")
-        out = self._fs.create(self._fs_path(f"{self.root}/CURRENT"), True)
+        aside = self._fs_path(f"{self.root}/_pointers/.{name}")
+        out = self._fs.create(aside, True)
         out.write(bytearray(json.dumps({"snapshot": name}).encode()))
         out.close()
+        place = self._fs_path(f"{self.root}/_pointers/{number:010d}")
+        if self._fs.exists(place) or not self._fs.rename(aside, place):
+            raise RuntimeError("the store was written meanwhile")
+        for old in numbers[: max(0, len(numbers) + 1 - KEEP)]:
+            delete(self.spark, f"{self.root}/{self._snapshot(old)}")
+            delete(self.spark, f"{self.root}/_pointers/{old:010d}")
 
     def upsert(self, new: DataFrame, now=None) -> None:
         """K4, K5: replaces rows by key, keeping created_at and an old raw_payload; adds columns either side lacks (K7).

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
+from html.parser import HTMLParser
+from urllib.parse import parse_qs, urlencode, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +58,79 @@ def search(query: str, backends: Iterable[Callable[[str, int], list[dict]]], lim
     return []
 
 
+#: Where each JSON search service keeps its results, and their title and address (fixed values of the services' answers).
+ANSWERS = {"serpapi": (("organic_results",), "title", "link"), "bing": (("webPages", "value"), "name", "url"), "google_cse": (("items",), "title", "link")}
+
+
+class _Results(HTMLParser):
+    """Titles, addresses and snippets of a results page."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found: list[dict] = []
+        self.part, self.depth = None, 0
+
+    def handle_starttag(self, tag, attrs):
+        given = dict(attrs)
+        kinds = (given.get("class") or "").split()
+        if self.part:
+            self.depth += 1
+        if "result__title" in kinds:
+            self.part, self.depth = "title", 0
+            self.found.append({"title": "", "url": "", "snippet": ""})
+        elif "result__snippet" in kinds and self.found:
+            self.part, self.depth = "snippet", 0
+        if self.part == "title" and tag == "a" and not self.found[-1]["url"]:
+            self.found[-1]["url"] = self.target(given.get("href") or "")
+
+    def handle_endtag(self, tag):
+        if self.part:
+            self.depth -= 1
+            if self.depth < 0:
+                self.part = None
+
+    def handle_data(self, data):
+        if self.part:
+            self.found[-1][self.part] += data
+
+    @staticmethod
+    def target(href: str) -> str:
+        """The address that a redirecting link leads to."""
+        return parse_qs(urlsplit(href).query).get("uddg", [href])[0]
+
+
+def parse_results(service: str, answer: str, limit: int = 10) -> list[dict]:
+    """Title, url and snippet of a search service's answer; one that can't be read has no results."""
+    if service == "duckduckgo_html":
+        page = _Results()
+        page.feed(answer)
+        page.close()
+        return [{k: v.strip() for k, v in r.items()} for r in page.found if r["url"]][:limit]
+    path, title, url = ANSWERS[service]
+    try:
+        at = json.loads(answer)
+        for key in path:
+            at = at.get(key, {})
+        return [{"title": r.get(title, ""), "url": r.get(url, ""), "snippet": r.get("snippet", "")} for r in list(at)[:limit]]
+    except (ValueError, AttributeError):
+        return []
+
+
+def backend(service: str, fetcher: Callable, address: Callable[[str, int], str]) -> Callable[[str, int], list[dict]]:
+    """A search backend: `address` gives the request's url, with its key, `fetcher` is like fetch_one."""
+
+    def run(query: str, limit: int) -> list[dict]:
+        answer = fetcher(address(query, limit))[1]
+        return parse_results(service, answer, limit) if answer else []
+
+    return run
+
+
+def html_search(fetcher: Callable = fetch_one) -> Callable[[str, int], list[dict]]:
+    """The backend that needs no key."""
+    return backend("duckduckgo_html", fetcher, lambda query, limit: "https://html.duckduckgo.com/html/?" + urlencode({"q": query, "kl": "us-en"}))
+
+
 def chunk_ids(instruction: Column, uri: Column, index: Column) -> Column:
     @F.pandas_udf("string")
     def run(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
