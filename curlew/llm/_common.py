@@ -2,50 +2,35 @@
 
 from __future__ import annotations
 
-import functools
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curlew.sources.scratch import delete, shared_root
+
 #: Bytes that separate words everywhere in this subpackage.
 SPACE = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; texts go to Python in batches of about a thousand rows, as a few may be very long."""
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """A table. Texts go to Python in batches that Spark bounds by bytes (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor shares: spark.checkpoint.dir, or a local one where it is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_root()
-    return base.rstrip("/")
-
-
-@functools.cache
-def _own_root() -> str:
-    return tempfile.mkdtemp(prefix="curlew-scratch-")
-
-
 class Stored:
     """A DataFrame written to the shared scratch folder, so that lost executors cost no recomputation."""
 
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
-        self.path = f"{scratch_root(self.spark)}/curlew/{name}-{uuid.uuid4().hex}"
+        self.path = f"{shared_root(self.spark)}/{name}-{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
         """Deletes the files. Only for tables that no DataFrame still to be run reads."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.path)
 
 
 class Temporary:
@@ -80,18 +65,6 @@ def store(df: DataFrame, name: str) -> Stored:
     return out
 
 
-#: Rows of a table that is counted first and then sent to all executors; a longer one is joined by shuffle.
-SENT_ROWS = 100_000
-
-
-def left_join_counted(big: DataFrame, small: Stored, key: str, spread: Column) -> DataFrame:
-    """Left join on a nullable key: by broadcast where the stored table has at most SENT_ROWS rows, else salted."""
-    if small.df.count() > SENT_ROWS:
-        return salted_left_join(big, small.df, key, spread)
-    right = small.df.withColumnRenamed(key, "_key")
-    return big.join(F.broadcast(right), big[key].eqNullSafe(right["_key"]), "left").drop("_key")
-
-
 def release(spark: SparkSession) -> None:
     """Lets go of the shuffle files of stages whose results are stored, instead of at the driver's next garbage collection."""
     gc.collect()
@@ -112,14 +85,14 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def salted_left_join(big: DataFrame, small: DataFrame, key: str, spread: Column, salts: int = 16) -> DataFrame:
-    """Left join on a nullable key of which one value may hold a large part of `big`.
+def left_join(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Left join on a nullable key of which one value may hold a large part of `big`; `small` has one row a key.
 
-    Each key of `big` is dealt over `salts` partitions, for which `small` (one row a key) is repeated.
+    Adaptive execution broadcasts a small side by its measured size and splits a partition that a hot key makes large,
+    so neither side is repeated beforehand.
     """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed(key, "_key")
-    return left.join(right, left[key].eqNullSafe(right["_key"]) & (left["_salt"] == right["_salt"]), "left").drop(left["_salt"]).drop(right["_salt"]).drop("_key")
+    right = small.withColumnRenamed(key, "_key")
+    return big.join(right, big[key].eqNullSafe(right["_key"]), "left").drop("_key")
 
 
 def fresh(name: str, columns: list[str]) -> str:

@@ -1,17 +1,19 @@
 """Operator 3: benchmark decontamination by greedy string tiling (running Karp-Rabin).
 
 Words are runs of letters, digits and underscores in lower case. Word n-grams (n = min_match) that a document shares
-with a benchmark item are the seeds: items whose seeds could not cover `coverage` of their words are passed
-over. For the others the longest common runs of unmarked words are marked again and again, longest first,
+with a benchmark item are the seeds: of each item so many of its rarest ones are indexed that a document with none of
+them can't cover `coverage` of its words, and items whose seeds could not cover that are passed over. For the others the longest common runs of unmarked words are marked again and again, longest first,
 found by hashes of runs whose length is halved from round to round, until none of min_match words is left. A
 document is contaminated by an item of which tiles cover `coverage` or more, in any order.
 
-The benchmark is sent to the executors in blocks of at most BLOCK_BYTES of text, however large it is; all
-documents are held against each block, without a shuffle of the documents.
+The benchmark is sent to the executors in blocks of about BLOCK_BYTES of text; all documents are held against each
+block, without a shuffle of the documents. The blocks of one call are all alive until its result is written, so an
+executor needs memory for the whole benchmark's index: some ten times its text.
 
 Nulls: a null text has no words. An item with fewer than min_match words has to be matched whole (its run
 length is its word count); one without words matches nothing. Null ids are returned as they are. Repeated
-documents and items give a match each. Empty tables give empty results. Other columns are passed on or left
+documents and items give a match each. Of equally long tiles the first in the item, then in the document, is
+marked first. Empty tables give empty results. Other columns are passed on or left
 unread.
 """
 
@@ -103,16 +105,35 @@ class Index:
         for item_id, text in items:
             if found := words(text):
                 self.items.append((item_id, np.array([self.vocab.setdefault(w, len(self.vocab)) for w in found], np.int64)))
-        #: by run length: sorted hashes of seeds, their item and position
-        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        #: by run length: sorted hashes of the items' rarest seeds, the items that hold them; and all seeds by item and place
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.runs: list[np.ndarray] = [rolling(x, min(min_match, len(x))) for _, x in self.items]
         for n in sorted({min(min_match, len(x)) for _, x in self.items}):
             at = [k for k, (_, x) in enumerate(self.items) if min(min_match, len(x)) == n]
-            h = [rolling(self.items[k][1], n) for k in at]
-            flat = np.concatenate(h)
-            item = np.repeat(at, [len(x) for x in h])
-            pos = np.concatenate([np.arange(len(x)) for x in h])
+            _, often, counts = np.unique(np.concatenate([np.unique(self.runs[k]) for k in at]), return_inverse=True, return_counts=True)
+            ends = np.cumsum([len(np.unique(self.runs[k])) for k in at])
+            flat, item = [], []
+            for k, some in zip(at, np.split(counts[often], ends[:-1]), strict=True):
+                flat.append(self.rarest(k, n, some))
+                item.append(np.full(len(flat[-1]), k))
+            flat, item = np.concatenate(flat), np.concatenate(item)
             order = np.argsort(flat, kind="stable")
-            self.seeds[n] = (flat[order], item[order], pos[order])
+            self.seeds[n] = flat[order], item[order]
+
+    def need(self, k: int) -> int:
+        """Words of item k that have to be covered."""
+        return math.ceil(self.coverage * len(self.items[k][1]) - 1e-9)
+
+    def rarest(self, k: int, n: int, often: np.ndarray) -> np.ndarray:
+        """Seeds of item k of which a document that covers it has one at least; often: items that hold each distinct seed.
+
+        A tile of m >= n words holds m - n + 1 seeds' places, so need(k) covered words hold need(k) / n at least. A
+        document without a single one of the seeds returned has the others' places at most: fewer than that.
+        """
+        seeds, places = np.unique(self.runs[k], return_counts=True)
+        order = np.lexsort((seeds, -often))
+        spared = np.cumsum(places[order]) < math.ceil(self.need(k) / n)
+        return seeds[order[~spared]]
 
     def match(self, texts: list[str | None]) -> list[list[dict]]:
         out: list[list[dict]] = [[] for _ in texts]
@@ -122,7 +143,7 @@ class Index:
         if not self.items or not lens.sum():
             return out
         flat, owner = np.concatenate(docs), np.repeat(np.arange(len(docs)), lens)
-        for n, (hashes, item, pos) in self.seeds.items():
+        for n, (hashes, item) in self.seeds.items():
             if len(flat) < n:
                 continue
             ok = owner[: len(flat) - n + 1] == owner[n - 1 :]
@@ -132,28 +153,34 @@ class Index:
             h = np.zeros(len(at), np.uint64)
             for k in range(n):
                 h = h * _BASE + (flat[at + k].astype(np.uint64) + np.uint64(1))
+            begin = np.searchsorted(owner[at], np.arange(len(docs) + 1))
             lo = np.searchsorted(hashes, h, "left")
             hit = lo < len(hashes)
             hit[hit] = hashes[lo[hit]] == h[hit]
-            at, lo, h = at[hit], lo[hit], h[hit]
-            if not len(at):
+            hit_at = np.flatnonzero(hit)
+            if not len(hit_at):
                 continue
-            # each seed once a document, then what its places in the items could cover
-            once = np.unique(np.stack((owner[at], lo), 1), axis=0)
+            # each rare seed once a document, then the items that hold it
+            once = np.unique(np.stack((owner[at[hit_at]], lo[hit_at]), 1), axis=0)
             times = np.searchsorted(hashes, hashes[once[:, 1]], "right") - once[:, 1]
             first = np.repeat(once[:, 1], times) + (np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times))
-            who = np.repeat(once[:, 0], times)
-            spots = np.unique(np.concatenate([np.stack((who, item[first], pos[first] + k), 1) for k in range(n)]), axis=0)
-            pairs, counts = np.unique(spots[:, :2], axis=0, return_counts=True)
-            for (d, k), could in zip(pairs, counts, strict=True):
-                item_id, tokens = self.items[k]
-                need = math.ceil(self.coverage * len(tokens) - 1e-9)
-                if could < need:
+            pairs = np.unique(np.stack((np.repeat(once[:, 0], times), item[first]), 1), axis=0)
+            own, seen = -1, h[:0]
+            for d, k in pairs.tolist():
+                if d != own:
+                    own, seen = d, np.unique(h[begin[d] : begin[d + 1]])
+                # what the document's seeds could cover of the item
+                there = np.flatnonzero(np.isin(self.runs[k], seen))
+                tokens, need = self.items[k][1], self.need(k)
+                could = np.zeros(len(tokens), bool)
+                for j in range(n):
+                    could[there + j] = True
+                if could.sum() < need:
                     continue
                 found = tiles(tokens, docs[d], n)
                 if (covered := sum(t[2] for t in found)) >= need:
-                    out[d].append({"item_id": item_id, "item_tokens": len(tokens), "covered": covered, "tiles": [dict(zip(("item_start", "doc_start", "length"), t, strict=True)) for t in found]})
-        return out
+                    out[d].append({"item_id": self.items[k][0], "item_tokens": len(tokens), "covered": covered, "tiles": [dict(zip(("item_start", "doc_start", "length"), t, strict=True)) for t in found]})
+        return [sorted(x, key=lambda m: (m["item_id"] is not None, m["item_id"])) for x in out]
 
 
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm._common import Temporary, bitmap_filter, fresh, release, salted_left_join, store, table, utf8
+from curlew.llm._common import Temporary, bitmap_filter, fresh, left_join, release, store, table, utf8
 
 BANDS, ROWS, EXTRA, BATCH = 16, 4, 64, 32
 SIZE = BANDS * ROWS + EXTRA
@@ -42,6 +42,8 @@ _MUL = (_rng.integers(0, 1 << 31, SIZE, np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _rng.integers(0, 1 << 32, SIZE, np.uint64).astype(np.uint32)[:, None]
 _W = _rng.integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 _CACHE = 300_000
+WORD = r"[^\x20\x09-\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 class Shingler:
@@ -305,7 +307,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 85, keep: list[str] | Non
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (4 * ROWS) + 1, F.lit(4 * ROWS))))
     bands = reps.select("rep", F.explode(keys).alias("bucket")).distinct()
     shared = bands.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("bucket", "pivot")
-    members = store(salted_left_join(bands, shared, "bucket", F.col("rep")).filter("pivot IS NOT NULL"), "members").df
+    members = store(left_join(bands, shared, "bucket").filter("pivot IS NOT NULL"), "members").df
     votes = members.filter("pivot != rep").groupBy("rep", "pivot").agg(F.count("*").alias("n"))
     pairs = votes.groupBy("rep").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("u")).select("u", F.col("rep").alias("v"))
     check = Verifier(docs, reps, n, percent)
@@ -320,7 +322,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 85, keep: list[str] | Non
         placed = members.select("bucket", "rep").join(labels.toDF("rep", "label"), "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("comp"))
         placed = store(placed, "placed").df
         open_ = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket", F.lit(True).alias("open"))
-        mixed = store(salted_left_join(placed, open_, "bucket", F.col("rep")).filter("open").select("bucket", "rep", "comp"), "mixed").df
+        mixed = store(left_join(placed, open_, "bucket").filter("open").select("bucket", "rep", "comp"), "mixed").df
         if mixed.isEmpty():
             break
         # signatures and sets of the members alone, once a member
@@ -336,26 +338,36 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 85, keep: list[str] | Non
             break
         tested = tested.unionByName(new)
     named_reps = reps.select("seq", "rep").join(labels.toDF("rep", "label"), "rep", "left").select("seq", F.coalesce("label", "rep").alias("component_id"))
-    joined = salted_left_join(rows.drop("sig", "set"), named_reps, "seq", F.col("doc_id"))
+    joined = left_join(rows.drop("sig", "set"), named_reps, "seq")
     component = F.coalesce("component_id", F.col("doc_id").cast("long"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return joined.select(*keep, "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def near_dedup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Pipeline form: of each component's documents the one with the smallest doc_id stays (once, if its row is repeated).
+    """Pipeline form: of each component's documents the one with the smallest doc_id stays, in one row.
 
-    The ids that go are few beside the texts: a bitmap of them keeps untouched documents out of the join.
+    Of rows that share a doc_id the one with the smallest text stays. Documents without a doc_id form no links; of
+    those with equal word sequences one stays, and all without words. The ids that go, and those that repeat, are few
+    beside the texts: bitmaps of them keep other documents out of joins and groups.
     """
+    columns = docs.columns
+    ident, words, flag = (fresh(c, columns) for c in ("own_id", "own_words", "maybe_met"))
     with Temporary() as temp:
-        judged = temp.keep(store(linked(docs.select("doc_id", "text"), n, percent).filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "dropped")).df
+        found = linked(docs.select("doc_id", "text"), n, percent)
+        gone = temp.keep(store(found.filter("NOT kept").select(F.col("doc_id").cast("long").alias(ident)).distinct(), "dropped")).df
+        twice = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias(ident)).agg(F.count("*").alias("n")).filter("n > 1").select(ident)
+        twice = temp.keep(store(twice, "repeated")).df
     release(docs.sparkSession)
-    flag = fresh("maybe_gone", docs.columns)
-    keyed = docs.withColumn("_gone", F.col("doc_id"))
-    flagged = bitmap_filter(keyed, judged.toDF("_gone"), ["_gone"], flag)
-    stay = flagged.filter(~F.col(flag)).select(*docs.columns)
-    rest = flagged.filter(flag).join(judged, F.col("_gone") == F.col("gone"), "left_anti").select(*docs.columns)
-    return stay.unionByName(rest)
+    keyed = docs.filter("doc_id IS NOT NULL").withColumn(ident, F.col("doc_id").cast("long"))
+    flagged = bitmap_filter(keyed, gone.union(twice), [ident], flag)
+    once = flagged.filter(~F.col(flag)).select(*columns)
+    rest = flagged.filter(flag).join(gone, ident, "left_anti")
+    first = lambda df, key: df.groupBy(key).agg(F.min_by(F.struct(*columns), F.coalesce("text", F.lit(""))).alias(flag)).select(*[F.col(flag)[c].alias(c) for c in columns])
+    bare = docs.filter("doc_id IS NULL").withColumn(words, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)))
+    keyed_bare = bare.withColumn(words, F.when(F.size(words) > 0, F.md5(F.translate(F.array_join(words, " "), UPPER, LOWER))))
+    unnamed = first(keyed_bare.filter(F.col(words).isNotNull()), words).unionByName(keyed_bare.filter(F.col(words).isNull()).select(*columns))
+    return once.unionByName(first(rest, ident)).unionByName(unnamed)
 
 
 def op8_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Rule failures are counted for each host (here: a document's source); host rates are shrunk by a beta prior
 whose mean and strength come from the hosts themselves (method of moments), and a host is rejected where the
-lower bound of its posterior failure rate is above `reject_above`. Host verdicts are joined back, hosts salted
-so that one with a third of all rows is spread over tasks.
+lower bound of its posterior failure rate is above `reject_above`. Host verdicts are joined back;
+hosts are few beside documents, so the verdicts are broadcast by their size, or else the join splits a hot host.
 
 Nulls: a null text has no words and fails; a null source is a host of its own. A host of few documents stays
 near the prior and is kept. Repeated rows count as often as they occur. Empty tables give empty results.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm._common import SPACE, Temporary, bitmap_filter, fresh, left_join_counted, salted_left_join, store, table, text_key
+from curlew.llm._common import SPACE, Temporary, bitmap_filter, fresh, left_join, store, table, text_key
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -98,7 +98,7 @@ def quality_filter(docs: DataFrame, host: str = "source", id_column: str = "doc_
 
     Every document is measured once, for the hosts' counts; of it only keys and the verdict are written, never the
     text. The keys of failed documents then pass as a bitmap of fixed size over the documents, and those it hits are
-    measured again, which needs no join. Hosts that are rejected are counted before they are sent to all executors.
+    measured again, which needs no join. Rejected hosts are joined, sent to all executors where they are few.
     """
     columns = docs.columns
     failed, names, maybe = fresh("base_failed", columns), fresh("rejected_host", columns), fresh("maybe_failed", columns)
@@ -114,14 +114,14 @@ def quality_filter(docs: DataFrame, host: str = "source", id_column: str = "doc_
     # exploding holds the filter above the measures: pushed below, it would evaluate them for every window
     again = measures(flagged.filter(maybe).select(*columns), columns).select(*columns, F.explode(F.array(failed)).alias(maybe))
     stay = sure.unionByName(again.filter(~F.col(maybe)).select(*columns))
-    return left_join_counted(stay, bad, host, F.col(id_column)).filter(F.col(names).isNull()).select(*columns)
+    return left_join(stay, bad.df, host).filter(F.col(names).isNull()).select(*columns)
 
 
 def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     made = store(measures(docs, ["doc_id", "source"]), "measures").df
     verdicts = host_verdicts(made, "source", "base_failed").select("source", "rejected")
-    joined = salted_left_join(made, verdicts, "source", F.col("doc_id"))
+    joined = left_join(made, verdicts, "source")
     kept = ~F.col("base_failed") & ~F.coalesce("rejected", F.lit(False))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
 

@@ -18,7 +18,7 @@ from bisect import bisect_left, bisect_right
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curlew.llm._common import salted_left_join, shuffle_partitions, store, table
+from curlew.llm._common import left_join, shuffle_partitions, store, table
 
 STRETCHES = 4096
 OVERHEAD = 16
@@ -106,9 +106,9 @@ def minimax_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select("doc_id", (F.octet_length(raw) + OVERHEAD).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.when(F.col("text").isNotNull(), F.unhex(F.md5(raw))).alias("gid"))
     rows = store(rows, "sizes").df
-    # A group has one row here however often its text is repeated: only that row's key is joined back, salted.
+    # A group has one row here however often its text is repeated: only that row's key is joined back.
     groups = rows.groupBy("gid").agg(F.min("doc_id").alias("first_id"), F.sum("size").alias("group_size"))
-    ordered = salted_left_join(rows, groups, "gid", F.col("doc_id")).repartitionByRange(shuffle_partitions(spark), "first_id", "gid", "doc_id", "text_crc32").sortWithinPartitions("first_id", "gid", "doc_id", "text_crc32")
+    ordered = left_join(rows, groups, "gid").repartitionByRange(shuffle_partitions(spark), "first_id", "gid", "doc_id", "text_crc32").sortWithinPartitions("first_id", "gid", "doc_id", "text_crc32")
 
     def number(batches):
         from pyspark import TaskContext

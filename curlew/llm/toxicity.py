@@ -1,7 +1,7 @@
 """Operator 9: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-The features of a text are the byte n-grams (NGRAMS lengths, A-Z in lower case, everything in ASCII that is
-no letter or digit as a space) that occur in it, hashed to BUCKETS. From at most MAX_TRAIN labelled rows (in the
+The features of a text are the n-grams of its characters (code points; NGRAMS lengths, A-Z in lower case, everything
+in ASCII that is no letter or digit as a space) that occur in it, hashed to BUCKETS. From at most MAX_TRAIN labelled rows (in the
 order of hashed ids, never held-out ones) come each feature's log-count ratio and whether the classes differ in
 it by Z standard errors; only such features carry weight, so a long text's many neutral n-grams add nothing. A
 logistic regression is fitted to the ratios of the features present, with a penalty on its weights, on the
@@ -29,26 +29,28 @@ MAX_TRAIN = 20_000
 Z = 4.0
 MIN_TEXTS = 4
 PENALTY = 0.1
-_PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+#: ASCII characters in lower case, all but letters and digits as spaces.
+_PLAIN = np.array([ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(128)], np.uint32)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
 def features(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hashed n-gram) of every place; texts keep a space at either end."""
-    data = [b" " + b.lower().translate(_PLAIN) + b" " for b in bodies]
-    lens = np.array([len(d) for d in data], np.int64)
-    flat = np.frombuffer(b"".join(data) + b" " * 8, np.uint8)
-    x = np.ndarray((len(flat) - 7,), "<u8", flat, 0, (1,))
-    owner = np.repeat(np.arange(len(data), dtype=np.int32), lens)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(lens) - lens, lens)
-    left = np.repeat(lens, lens) - at
-    texts, hashes = [], []
-    for n in NGRAMS:
-        ok = left >= n
-        gram = x[: len(owner)][ok] & np.uint64((1 << 8 * n) - 1)
-        texts.append(owner[ok])
-        hashes.append((((gram * _MUL) ^ np.uint64(n)) * _MUL >> np.uint64(64 - BITS)).astype(np.int32))
-    return np.concatenate(texts), np.concatenate(hashes)
+    """(text, hashed n-gram of characters) of every place; texts keep a space at either end."""
+    texts = [f" {b.decode('utf-8', 'replace')} " for b in bodies]
+    lens = np.array([len(t) for t in texts], np.int64)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    plain = flat < 128
+    x = np.where(plain, _PLAIN[np.where(plain, flat, 0)], flat).astype(np.uint64)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lens)
+    left = np.repeat(np.cumsum(lens), lens) - np.arange(len(owner))
+    gram, whose, hashes = np.zeros(len(x), np.uint64), [], []
+    for n in range(1, max(NGRAMS) + 1):
+        gram = gram[: len(x) - n + 1] * _MUL + x[n - 1 :]
+        if n in NGRAMS:
+            ok = left[: len(gram)] >= n
+            whose.append(owner[: len(gram)][ok])
+            hashes.append((((gram[ok] ^ np.uint64(n)) * _MUL) >> np.uint64(64 - BITS)).astype(np.int32))
+    return np.concatenate(whose), np.concatenate(hashes)
 
 
 def distinct(texts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

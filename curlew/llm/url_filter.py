@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm._common import salted_left_join, store, table
+from curlew.llm._common import left_join, store, table
 
 #: (verdict, host, path)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -88,7 +88,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFr
     ruled = store(apply_rules(levels(split_url(pages)), rules), "ruled").df
     hosts = ruled.groupBy("suffix", "domain", "host").agg(F.count("ruled").alias("n"), F.coalesce(F.sum(F.when(F.col("ruled") == "block", 1).when(F.col("ruled") == "allow", 0)), F.lit(0)).alias("k"))
     bad = reputation(store(hosts, "hosts").df).filter(F.col("lower") > BLOCK_ABOVE).select("host", F.lit(True).alias("bad"))
-    joined = salted_left_join(ruled, bad, "host", F.col("page_id"))
+    joined = left_join(ruled, bad, "host")
     verdict = F.coalesce("ruled", F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow")))
     return joined.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 

@@ -120,20 +120,21 @@ def base_scores(docs):
 
 def tiling(item, doc, min_match):
     """Words of `item` that tiles cover, each tile the longest common run of free words (first in item, then doc)."""
-    free_a, free_b, covered = [True] * len(item), [True] * len(doc), 0
+    names = {w: k for k, w in enumerate(dict.fromkeys([*item, *doc]))}
+    a, b = (np.array([names[w] for w in x], np.int64) for x in (item, doc))
+    free_a, free_b, covered = np.ones(len(a), bool), np.ones(len(b), bool), 0
     while True:
-        best = (0, 0, 0)
-        for i in range(len(item)):
-            for j in range(len(doc)):
-                n = 0
-                while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n] and free_a[i + n] and free_b[j + n]:
-                    n += 1
-                best = max(best, (n, -i, -j))
-        n, i, j = best[0], -best[1], -best[2]
+        best, run = (0, 0, 0), np.zeros(len(b) + 1, np.int64)
+        for i in range(len(a)):  # run[j + 1]: the longest common run that ends at i and j
+            run[1:] = np.where((b == a[i]) & free_b & free_a[i], run[:-1] + 1, 0)
+            n = int(run.max())
+            if n > best[0] or (n == best[0] and n and i - n + 1 < best[1]):
+                best = (n, i - n + 1, int(np.flatnonzero(run == n)[0]) - n)
+        n, i, j = best
         if n < min_match:
             return covered
-        free_a[i : i + n] = [False] * n
-        free_b[j : j + n] = [False] * n
+        free_a[i : i + n] = False
+        free_b[j : j + n] = False
         covered += n
 
 

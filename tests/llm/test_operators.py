@@ -7,12 +7,14 @@ import numpy as np
 import pandas as pd
 import pyarrow.parquet as pq
 import pytest
+from conftest import write
 from oracle import duck_rows, spark_rows
 from pyspark.sql import functions as F
 
-from curlew.llm import near_dups, packing, token_store
-from curlew.llm.decontaminate import decontaminate, tiles
+from curlew.llm import near_dups, packing, token_store, toxicity
+from curlew.llm.decontaminate import decontaminate, matches, tiles
 from curlew.llm.queries import ORACLE_SQL, QUERIES
+from curlew.llm.sharding import minimax
 from curlew.llm.tokens import encoder, vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -106,9 +108,19 @@ def test_op2_sequences_round_trip(spark, odd):
 def test_op3_equals_plain_tiling(spark, folder):
     b = pq.read_table(f"{folder}/benchmark.parquet").to_pydict()
     got = sorted((r.doc_id, r.item_id, r.item_tokens, r.covered_tokens) for r in rows(spark, "op3_greedy_string_tiling", folder))
-    short = [(d, t) for d, t in docs_of(folder) if len(t or "") < 3000]
-    keep = {d for d, _ in short}
-    assert [g for g in got if g[0] in keep] == sorted(brute.contaminated(short, list(zip(b["item_id"], b["text"], strict=True))))
+    assert got == sorted(brute.contaminated(docs_of(folder), list(zip(b["item_id"], b["text"], strict=True))))
+
+
+def test_op3_null_ids_common_seeds_and_long_texts(spark):
+    """Items share most of their trigrams; some documents are long; ids may be null."""
+    rng = np.random.default_rng(12)
+    common = [f"c{k}" for k in range(12)]
+    items = [(k if k else None, " ".join([*common, *(f"i{k}x{j}" for j in range(6))])) for k in range(40)] + [(90, "one two"), (91, ""), (92, "...")]
+    filler = " ".join(f"f{j}" for j in rng.integers(0, 500, 20_000))
+    docs = [(1, filler + " " + items[7][1] + " " + filler), (2, " ".join(common)), (None, items[0][1]), (3, "One, TWO"), (4, None), (5, " ".join(common[:6]) + " gap " + " ".join([*common[6:], "i5x0", "i5x1", "i5x2", "i5x3"])), (6, filler)]
+    found, name = matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), block_bytes=1500)
+    got = sorted(((r.doc_id, m.item_id, m.item_tokens, m.covered) for r in found.collect() for m in r[name]), key=repr)
+    assert got == sorted(brute.contaminated(docs, items), key=repr) and (1, 7, 18, 18) in got and (None, None, 18, 18) in got
 
 
 def test_op3_tiles_against_plain():
@@ -149,8 +161,6 @@ def test_op5_repeats(spark, folder):
 
 
 def test_op5_dense_repeats(spark, tmp_path):
-    from conftest import write
-
     rng = np.random.default_rng(2)
     parts = ["".join(rng.choice(list("abc"), 70)) for _ in range(6)]
     made = [(int(k), "".join(rng.choice(parts, 4)) + "".join(rng.choice(list("xyz"), 30)), "s") for k in rng.permutation(80)]
@@ -184,6 +194,32 @@ def test_op6_odd_urls(spark, tmp_path):
     assert by[0].host == "www.example.org" and by[0].rule == "example.org/es/" and by[0].verdict == "block" and by[1].host == by[1].path == "" and by[6].verdict == "block" and by[7].rule is None
 
 
+def test_op6_nulls_repeats_and_long_urls(spark, tmp_path):
+    import pyarrow as pa
+
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("rule", pa.string()), ("verdict", pa.int64()), ("bad", pa.bool_()), ("suffix", pa.string())])
+    long = "http://" + "sub." * 3000 + "example.org/es/" + "p" * 50_000
+    made = [(None, "http://a.com/de/1"), (None, None), (1, "http://a.com/de/1"), (1, "http://a.com/de/1"), (2, long), *((10 + k, f"http://bad.com/{'de' if k % 9 else 'xx'}/{k}") for k in range(60))]
+    for name, rows_ in (("some", made), ("none", [])):
+        (tmp_path / name).mkdir()
+        pq.write_table(pa.Table.from_pylist([{"page_id": i, "url": u, "rule": "mine", "verdict": 1, "bad": True, "suffix": "mine"} for i, u in rows_], schema), tmp_path / name / "pages.parquet")
+        got = spark_rows(QUERIES["op6_host_reputation"](spark, str(tmp_path / name)))
+        assert got == duck_rows(ORACLE_SQL["op6_host_reputation"], str(tmp_path / name)) and len(got[0]) == len(rows_)
+    by = {r.page_id: r for r in rows(spark, "op6_host_reputation", str(tmp_path / "some"))}
+    assert by[2].verdict == "block" and len(by[2].host) == 12_011 and by[19].rule is None and by[19].verdict == "block"
+
+
+def test_op7_cuts_found_in_many_rounds(spark):
+    """So few stretches a round that the capacity is settled in several."""
+    rng = np.random.default_rng(13)
+    sizes = rng.integers(1, 2000, 700).tolist()
+    ends = spark.createDataFrame([(int(x),) for x in np.cumsum(sizes)], "end long")
+    for shards in (1, 7, 40, 699, 900):
+        cuts = minimax(ends, sum(sizes), max(sizes), shards, stretches=8)
+        assert cuts[-1] == sum(sizes) and len(cuts) <= shards and set(cuts) <= set(np.cumsum(sizes).tolist())
+        assert max(np.diff([0, *cuts])) == brute.best_minimax(sizes, shards)
+
+
 def test_op7_sharding(spark, folder):
     got = pd.DataFrame([r.asDict() for r in rows(spark, "op7_minimax_sharding", folder)])
     docs = docs_of(folder)
@@ -223,6 +259,83 @@ def test_op8_chains_of_near_copies(spark):
     assert all((r.n_shingles, r.component_id) == want[r.doc_id] for r in got)
 
 
+def test_op8_large_bucket_across_components(spark):
+    """Texts that share many bands but not enough to be linked, more than CHUNK of them, and a few that are linked."""
+    rng = np.random.default_rng(14)
+    base, made = [f"b{k}" for k in range(60)], []
+    for k in range(near_dups.CHUNK + 300):
+        w = list(base)
+        for j in rng.choice(60, 3 if k % 3 else 1, replace=False):
+            w[int(j)] = f"n{int(rng.integers(0, 40))}"
+        made.append((k, " ".join(w)))
+    want = brute.components(made, 3, 85)
+    got = near_dups.linked(spark.createDataFrame(made, "doc_id long, text string").repartition(5), 3, 85).collect()
+    assert all((r.n_shingles, r.component_id) == want[r.doc_id] for r in got)
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    made = [(1, text, 1.0), (1, text, 1.0), (2, text, 2.0), (3, "other words of its own", 3.0), (3, "another text of the same id", 4.0), (None, text, 5.0), (None, text.upper(), 6.0), (None, None, 7.0), (None, " ", 8.0), (4, None, 9.0), (5, "", 10.0), (5, "", 10.0)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, own_id double")
+    left = near_dups.near_dedup(docs)
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
+    assert [g for g in got if g[0] is not None] == [(1, text), (3, "another text of the same id"), (4, None), (5, "")]
+    assert sorted((g[1] or "").lower().strip() for g in got if g[0] is None) == ["", "", text]
+
+
+def plain_features(text):
+    keep = "".join(c if ord(c) >= 128 else c.lower() if c.isalnum() else " " for c in f" {text or ''} ")
+    return {keep[k : k + n] for n in (4, 5) for k in range(len(keep) - n + 1)}
+
+
+def test_op9_features_are_character_ngrams():
+    texts = ["Some Text, 12!", "ÄÖ日本 é́x", "", "abc", "a\tb\0c" * 5]
+    whose, hashed = toxicity.features([t.encode() for t in texts])
+    by = {}
+    for t, text in enumerate(texts):
+        own = set(hashed[whose == t].tolist())
+        grams = plain_features(text)
+        assert len(own) == len(grams)  # no two of so few meet in a bucket
+        for other, seen in by.items():
+            assert len(own & seen) == len(grams & plain_features(other))
+        by[text] = own
+
+
+def test_op9_scores_equal_a_plain_sum(spark, tmp_path):
+    """The score is the logistic of the bias and the weights of the n-grams that occur; labels may repeat, be null, or of one class."""
+    rng = np.random.default_rng(15)
+    made = [(k, " ".join([f"w{j}" for j in rng.integers(0, 60, 30)] + ["vile scum"] * (k % 4 == 0)), "s") for k in range(300)] + [(None, "vile scum", "s"), (301, None, "s"), (301, "vile scum " * 9000, "s")]
+    labels = [(k, int(k % 4 == 0)) for k in range(300)] + [(0, 0), (5, None), (None, 1), (999, 1)]
+    folder = write(tmp_path / "t", made, labels=labels)
+    docs, lab = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{folder}/labels.parquet")
+    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
+    model = toxicity.train(docs, lab.filter(~held))
+    got = rows(spark, "op9_nb_toxicity", folder)
+    assert len(got) == len(made)
+    by_text = {}
+    for text in {t for _, t, _ in made}:
+        _, hashed = toxicity.features([(text or "").encode()])
+        by_text[text] = 1 / (1 + np.exp(-(model.bias + sum(float(model.weights[h]) for h in set(hashed.tolist())))))
+    want = defaultdict(list)
+    for d, t, _ in made:
+        want[d].append(by_text[t])
+    for d, scores in want.items():
+        assert np.allclose(sorted(r.score for r in got if r.doc_id == d), sorted(scores), atol=1e-5), d
+    right = [(r.predicted, int(r.doc_id % 4 == 0)) for r in got if r.held_out and r.doc_id is not None and r.doc_id < 300]
+    assert sum(a == b for a, b in right) >= 0.95 * len(right)
+    one = write(tmp_path / "one", made[:20], labels=[(k, 1) for k in range(20)])
+    assert {round(r.score, 6) for r in rows(spark, "op9_nb_toxicity", one)} != {0.5} and len({round(r.score, 9) for r in rows(spark, "op9_nb_toxicity", one)}) == 1
+    none = write(tmp_path / "none", made[:20], labels=[])
+    assert {r.score for r in rows(spark, "op9_nb_toxicity", none)} == {0.5}
+
+
+def test_op10_long_lines_and_texts(spark, tmp_path):
+    line = " ".join(f"w{k}" for k in range(60_000))
+    folder = write(tmp_path / "t", [(1, line, "s"), (2, "x" * 500_000, "s"), (3, (line[:2000] + chr(10)) * 30, "s"), (4, "a b c d e f g h i " * 3000, None)])
+    assert spark_rows(QUERIES["op10_host_quality_rules"](spark, folder)) == duck_rows(ORACLE_SQL["op10_host_quality_rules"], folder)
+
+
 def test_op9_held_out_accuracy(spark):
     """Some 16 % of the toxic labels of this table are on texts without any toxic word, so recall stays under 0.85."""
     f = "/root/testdata/sf0.1"
