@@ -84,13 +84,29 @@ def opening(text: Column, words: int = 3) -> Column:
     return F.array_join(F.slice(tokens(text), 1, words), " ")
 
 
+def in_stretches(df: DataFrame, group: str) -> DataFrame:
+    """Rows with _part: stretches, in order of (group, seq), that each fit a task however large a group is."""
+    return df.repartitionByRange(group, "seq").withColumn("_part", F.spark_partition_id())
+
+
 def repeated_openings(df: DataFrame, key: Column, most: int = 3, group: str = "source") -> DataFrame:
-    """Q6: runs of more than `most` records in a row (by seq, within a group) that open alike: gaps and islands."""
-    rows = df.select(group, "seq", key.alias("opening"))
-    order = Window.partitionBy(group).orderBy("seq")
-    island = F.row_number().over(order) - F.row_number().over(Window.partitionBy(group, "opening").orderBy("seq"))
-    runs = rows.withColumn("island", island).groupBy(group, "opening", "island").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
-    return runs.filter(F.col("n") > most).select(group, "opening", "n", "first_seq")
+    """Q6: runs of more than `most` records in a row (by seq, within a group) that open alike: gaps and islands.
+
+    Islands are found in stretches of a group; those at a stretch's edges, two at most, are then joined in order.
+    """
+    rows = in_stretches(df.select(group, "seq", key.alias("opening")), group)
+    order = Window.partitionBy("_part", group).orderBy("seq")
+    whole = Window.partitionBy("_part", group)
+    island = F.row_number().over(order) - F.row_number().over(Window.partitionBy("_part", group, "opening").orderBy("seq"))
+    marked = rows.withColumn("island", island).withColumns({"low": F.min("seq").over(whole), "high": F.max("seq").over(whole)})
+    runs = marked.groupBy("_part", group, "opening", "island").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"), (F.min("seq") == F.first("low")).alias("opens"), (F.max("seq") == F.first("high")).alias("ends"))
+    runs = Scratch(df.sparkSession).put(runs.drop("island"))
+    inner = runs.filter("NOT opens AND NOT ends").select(group, "opening", "n", "first_seq")
+    edge = Window.partitionBy(group).orderBy("_part", "first_seq")
+    goes_on = F.lag("opening").over(edge).eqNullSafe(F.col("opening")) & F.lag("ends").over(edge) & F.col("opens")
+    joined = runs.filter("opens OR ends").withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(edge))
+    joined = joined.groupBy(group, "run").agg(F.first("opening").alias("opening"), F.sum("n").alias("n"), F.min("first_seq").alias("first_seq"))
+    return inner.unionByName(joined.drop("run")).filter(F.col("n") > most)
 
 
 def quantity(df: DataFrame, minima: DataFrame) -> DataFrame:
@@ -121,10 +137,17 @@ def low_variation(df: DataFrame, group: Column, number: Column, percent: int = 2
 
 
 def unsorted_steps(df: DataFrame, number: Column, group: str = "source") -> DataFrame:
-    """Q8: per group, how many neighbours (by seq) ascend: a sorted corpus ascends nearly always."""
-    w = Window.partitionBy(group).orderBy("seq")
-    x = df.select(group, number.alias("x"), F.lag(number).over(w).alias("before"))
-    return x.filter("before IS NOT NULL").groupBy(group).agg(F.count("*").alias("steps"), F.count_if(F.col("x") >= F.col("before")).alias("ascending"))
+    """Q8: per group, how many neighbours (by seq) ascend: a sorted corpus ascends nearly always.
+
+    Steps are counted in stretches of a group, then those from a stretch to the next.
+    """
+    rows = in_stretches(df.select(group, "seq", number.alias("x")), group)
+    rows = rows.withColumn("before", F.lag("x").over(Window.partitionBy("_part", group).orderBy("seq")))
+    up = F.count_if(F.col("before").isNotNull() & (F.col("x") >= F.col("before")))
+    part = rows.groupBy("_part", group).agg(F.count("before").alias("steps"), up.alias("ascending"), F.min_by("x", "seq").alias("first"), F.max_by("x", "seq").alias("last"))
+    over = F.lag("last").over(Window.partitionBy(group).orderBy("_part"))  # a row a stretch
+    part = part.withColumn("from", over).withColumns({"steps": F.col("steps") + F.when(F.col("from").isNotNull(), 1).otherwise(0), "ascending": F.col("ascending") + F.when(F.col("first") >= F.col("from"), 1).otherwise(0)})
+    return part.groupBy(group).agg(F.sum("steps").alias("steps"), F.sum("ascending").alias("ascending")).filter("steps > 0")
 
 
 def lengths(df: DataFrame, group: Column, text: Column) -> DataFrame:

@@ -6,7 +6,7 @@ DataFrames (a row a bucket), records are aggregated before anything is sorted or
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
@@ -148,10 +148,17 @@ def distributions(df: DataFrame) -> DataFrame:
     return axes.unionByName(scores)
 
 
+#: Rows of a kind (for histograms: of a field) in a summary.
+CAP = 1000
+
+
 @dataclass
 class Report:
+    """The summary lists CAP rows of a kind at most; `left_out` in it says how many more there are, `tables` has all."""
+
     summary: dict[str, Any]
     recommendations: list[str]
+    tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def complete(self, plan: Plan) -> bool:
         """Nothing is left to fix that blocks; without a plan nothing is ever complete."""
@@ -162,18 +169,28 @@ class Report:
 
 
 def report(records: DataFrame, effective: DataFrame, plan: Plan, group_by: list[str] | None = None) -> Report:
-    """A1 to A15 as a driver-side summary; only counts per bucket leave the executors."""
-    rows = lambda d, *order, cap=1000: [r.asDict() for r in d.orderBy(*order).limit(cap).collect()]
+    """A1 to A15 as a driver-side summary; only counts per bucket leave the executors, the largest CAP of each field."""
+    tables: dict[str, DataFrame] = {}
+    left_out: dict[str, int] = {}
+
+    def rows(d: DataFrame, *order, name: str = "", cap: int = CAP) -> list[dict]:
+        got = [r.asDict() for r in d.orderBy(*order).limit(cap).collect()]
+        if name:
+            tables[name] = d
+            if len(got) == cap and (more := d.count() - cap):
+                left_out[name] = more
+        return got
+
     effective = effective.persist()
     try:
         total, n = records.count(), effective.count()
         fields = plan.group_fields(group_by)
         counts = histograms(effective, fields).persist()
         spec = plan.spec
-        under = rows(underrepresented(counts, plan), F.desc("gap"), "field", "value")
-        collapse = rows(mode_collapse(counts, n, plan), F.desc("share"), "field", "value")
-        lacking = rows(missing_fields(effective, plan.required()), F.desc("n_missing"), "field")
-        joint = rows(joint_findings(effective, plan, n), "rule", "bucket")
+        under = rows(underrepresented(counts, plan), F.desc("gap"), "field", "value", name="underrepresented")
+        collapse = rows(mode_collapse(counts, n, plan), F.desc("share"), "field", "value", name="mode_collapse")
+        lacking = rows(missing_fields(effective, plan.required()), F.desc("n_missing"), "field", name="missing_required")
+        joint = rows(joint_findings(effective, plan, n), "rule", "bucket", name="joint_findings")
         found: dict[str, list[str]] = {}
         rule = plan.section("response_length")
         stats = length_stats(effective, int(rule.get("over_chars_limit") or 0)).first().asDict()
@@ -191,10 +208,16 @@ def report(records: DataFrame, effective: DataFrame, plan: Plan, group_by: list[
         if strings(rule.get("reference_fields")) and origin["n_traceable"] < origin["n_real"]:
             found.setdefault("provenance", []).append("untraceable real-world records")
         gap = None if plan.target is None else max(plan.target - n, 0)
-        summary = {"records": total, "effective_count": n, "duplicate_count": total - n, "duplicate_rate": round((total - n) / total, 4) if total else 0.0, "target_gap": gap, "groups": rows(counts, "field", F.desc("n"), "value", cap=10_000), "underrepresented": under, "mode_collapse": collapse, "missing_required": lacking, "joint_findings": joint, "response_length": stats, "provenance": origin, "findings": found}
+        tables["groups"] = counts
+        # a field of very many values leaves the others their place
+        largest = counts.withColumn("k", F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "value"))).filter(F.col("k") <= CAP).drop("k")
+        groups = [r.asDict() for r in largest.orderBy("field", F.desc("n"), "value").collect()]
+        if more := counts.count() - len(groups):
+            left_out["groups"] = more
+        summary = {"records": total, "effective_count": n, "duplicate_count": total - n, "duplicate_rate": round((total - n) / total, 4) if total else 0.0, "target_gap": gap, "groups": groups, "left_out": left_out, "underrepresented": under, "mode_collapse": collapse, "missing_required": lacking, "joint_findings": joint, "response_length": stats, "provenance": origin, "findings": found}
     finally:
         effective.unpersist()
-    return Report(summary, recommendations(summary))
+    return Report(summary, recommendations(summary), tables)
 
 
 def recommendations(s: dict[str, Any]) -> list[str]:

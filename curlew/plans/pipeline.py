@@ -64,7 +64,7 @@ class Pipeline:
         text = record_text()
         if old is not None:
             dups = import_duplicates(old.filter(F.col("status").isin("raw_generated", "augmented", "judge_pending", "verified_pass")), good, text, self.threshold)
-            good = _mark(good, dups)
+            good = mark_duplicates(good, dups)
         self.store.upsert(good)
         if not self.skip_verify:
             waiting = self.store.by_status("raw_generated", "augmented", "seeded")
@@ -94,7 +94,7 @@ class Pipeline:
         return out
 
 
-def _mark(batch: DataFrame, dups: DataFrame) -> DataFrame:
-    why = dups.select(F.col("duplicate_id").alias("id"), F.concat(F.lit("Duplicate of "), "kept_id", F.lit(" ("), "reason", F.lit(")")).alias("_why"))
+def mark_duplicates(batch: DataFrame, dups: DataFrame, text: str = "Duplicate of ") -> DataFrame:
+    why = dups.select(F.col("duplicate_id").alias("id"), F.concat(F.lit(text), "kept_id", F.lit(" ("), "reason", F.lit(")")).alias("_why"))
     hit = F.col("_why").isNotNull()
     return batch.join(why, "id", "left").withColumns({"status": F.when(hit, "deduped").otherwise(F.col("status")), "pipeline_status": F.when(hit, "fail").otherwise(F.col("pipeline_status")), "error_message": F.coalesce("_why", "error_message")}).drop("_why")
