@@ -85,9 +85,11 @@ def greedy(pairs: DataFrame) -> DataFrame:
         new = scratch.put(free.union(hit))
         done = new if done is None else done.union(new)
         gone = new.select("node")
+        nodes_before, edges_before = open_nodes, open_edges
         open_nodes = scratch.put(open_nodes.join(gone, "node", "left_anti"))
         # an edge from a dropped node binds no more; one into a decided node is settled
         open_edges = scratch.put(open_edges.join(gone.toDF("a"), "a", "left_anti").join(gone.toDF("b"), "b", "left_anti"))
+        scratch.drop(nodes_before, edges_before, free)
     return done if done is not None else nodes.withColumn("kept", F.lit(True))
 
 

@@ -60,7 +60,16 @@ class Scratch:
         df.write.parquet(path)
         if not keep:
             self.made.append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that nothing still to be run reads."""
+        for df in tables:
+            delete(self.spark, df._scratch_path)
+            if df._scratch_path in self.made:
+                self.made.remove(df._scratch_path)
 
     def __enter__(self) -> Scratch:
         return self
