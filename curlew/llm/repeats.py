@@ -426,7 +426,8 @@ def sampled(blocks: DataFrame, suffixes: int, buckets: int) -> Splitters:
 
     picked = blocks.filter(F.pmod(F.xxhash64("block"), F.lit(one_in)) == 0) if one_in > 1 else blocks
     keys = sorted(picked.select("block", "docs", "counts", "offsets").mapInArrow(run, "key binary").toArrow().column("key").to_pylist())
-    return Splitters([keys[k * len(keys) // buckets] for k in range(1, buckets)] if len(keys) >= buckets else [])
+    buckets = min(buckets, len(keys) + 1)  # where most suffixes are settled at once, fewer have to be sorted
+    return Splitters([keys[k * len(keys) // buckets] for k in range(1, buckets)])
 
 
 # --- the sort -----------------------------------------------------------------------------------------------

@@ -31,6 +31,14 @@ def test_many_buckets_and_hot_strings(spark):
     same(spark, made, bucket_bytes=n * repeats.RECORD // 400, passes=3)
 
 
+def test_copies_of_one_text(spark):
+    """Nearly all suffixes are settled where they are read: the few that are left still go to several buckets."""
+    rng = np.random.default_rng(7)
+    text = " ".join(f"w{k}" for k in rng.integers(0, 500, 80))
+    made = [(int(k), text + (f" own {k}" if k % 40 == 0 else "")) for k in rng.permutation(160)]
+    same(spark, made, parts=2, bucket_bytes=repeats.RECORD * 40, passes=4)
+
+
 def test_texts_without_words(spark):
     rng = np.random.default_rng(4)
     dense = "".join(rng.choice(list("日本語のé"), 400))
