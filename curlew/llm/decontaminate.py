@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curlew.llm._common import fresh, table
+from curlew.llm._common import fresh, lean, table
 
 MIN_MATCH = 3
 COVERAGE = 0.8
@@ -209,7 +209,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None
                     got = [a + b for a, b in zip(part.column(at + 1).to_pylist(), index.value.match(part.column(at).to_pylist()), strict=True)]
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(got, part.schema.field(at + 1).type)], schema=part.schema)
 
-        out = out.mapInArrow(run, out.schema)
+        out = out.mapInArrow(lean(run), out.schema)
     return out.drop(text), name
 
 

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm._common import Temporary, bitmap_filter, fresh, left_join, release, store, table, utf8
+from curlew.llm._common import Temporary, bitmap_filter, fresh, lean, left_join, release, store, table, utf8
 
 BANDS, ROWS, EXTRA, BATCH = 16, 4, 64, 32
 SIZE = BANDS * ROWS + EXTRA
@@ -131,7 +131,7 @@ def shingled(docs: DataFrame, n: int, keep: list[str]) -> DataFrame:
                 sets.append((s >> np.uint64(32)).astype("<u4").tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(counts, pa.int64()), pa.array(seqs, pa.binary()), pa.array(sigs, pa.binary()), pa.array(sets, pa.binary())], names=schema.names)
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)
 
 
 def _spanning(edges: DataFrame) -> DataFrame:

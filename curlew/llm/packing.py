@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curlew.llm._common import store, table
+from curlew.llm._common import lean, store, table
 from curlew.llm.tokens import encoder, vocabulary
 
 CAPACITY = 2048
@@ -158,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
                 yield out
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local_rank long" + ", ids binary" * with_ids
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, schema)
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(lean(run, encodes=True), schema)
 
 
 def best_fit_pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -195,7 +195,7 @@ def best_fit_pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids + ", sequence_id long, offset long"
     # as many rows as tasks and lengths: too many to broadcast where there are many tasks
     joined = made.join(base.select("part", "length", "base").hint("shuffle_hash"), ["part", "length"]).select(*made.columns, "base")
-    return joined.mapInPandas(place, schema)
+    return joined.mapInPandas(lean(place), schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from curlew.llm._common import Temporary, fresh, release, store, table
+from curlew.llm._common import Temporary, fresh, lean, release, store, table
 
 WIDTH = 50
 REACH = 16  # a window's suffix starts 1 to REACH bytes after it
@@ -624,7 +624,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
                 columns = [pa.array(whole, rows.schema.field(at).type) if k == at else c for k, c in enumerate(rows.columns)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([t is not None for t in texts])], schema=rows.schema.append(pa.field(flag, pa.bool_())))
 
-    out = marked(kinds).mapInArrow(run, StructType([*kinds.schema.fields, StructField(flag, BooleanType())]))
+    out = marked(kinds).mapInArrow(lean(run), StructType([*kinds.schema.fields, StructField(flag, BooleanType())]))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(flag), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*(F.col(c).cast(docs.schema[c].dataType).alias(c) if c == "doc_id" else F.col(c) for c in docs.columns))

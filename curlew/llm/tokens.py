@@ -188,6 +188,15 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget_words() -> bool:
+    """Lets go of the words and pieces that this process's encoders remember; whether there were any."""
+    held = [e for e in _encoders.values() if e.pieces or len(e.keys)]
+    for e in held:
+        e.pieces = {}
+        e._forget()
+    return bool(held)
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
