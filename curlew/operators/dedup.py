@@ -1,8 +1,9 @@
 """Exact and near duplicates by word-trigram Jaccard, first come first kept.
 
-Scale: exact copies fold by hash before anything is joined. Candidates come from a prefix filter over
-hashed shingles, rarest first, so a pair meets only on shingles that few texts have; pairs are verified on
-whole sets. The greedy rule is settled in rounds over the pair table, which is written out between rounds.
+Scale: exact copies fold by hash before anything is joined. Sets of hashed shingles are made in numpy where they are
+needed and never shuffled or stored whole: texts are sent signatures of ranges of their hashes, such that a pair has one
+in common, and only texts in a candidate pair get their sets compared. The greedy rule is settled in rounds over the
+pair table, which is written out between rounds.
 """
 
 from __future__ import annotations
@@ -11,38 +12,76 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curlew.functions.text import bound, shingles_of, text_hash, tokens
+from curlew.functions.shingles import bands as minhash_bands
+from curlew.functions.shingles import signatures, with_sets
+from curlew.functions.text import text_hash
 from curlew.sources.scratch import Scratch
 
 
-def shingled(records: DataFrame, text: Column) -> DataFrame:
-    """id, seq, hash and hashed shingle set of each record."""
-    return records.select("id", "seq", text_hash(text).alias("hash"), F.transform(shingles_of(tokens(text)), lambda s: F.xxhash64(s)).alias("sh"))
+#: Under this threshold ranges of hashes get too short to tell texts apart, and the rarest shingles make the candidates.
+RANGES = 0.7
 
 
-def similar_pairs(sets: DataFrame, threshold: float, after: int | None = None) -> DataFrame:
+def hashed(records: DataFrame, text: Column) -> DataFrame:
+    """id, seq, hash and text of each record."""
+    return records.select("id", "seq", text_hash(text).alias("hash"), text.alias("text"))
+
+
+def folded(rows: DataFrame) -> DataFrame:
+    """hash, seq, id and text of the first row of each text."""
+    first = rows.groupBy("hash").agg(F.min(F.struct("seq", "id", "text")).alias("x"))
+    return first.select("hash", "x.*")
+
+
+def similar_pairs(texts: DataFrame, threshold: float, after: int | None = None) -> DataFrame:
     """(a, b, inter, uni) with seq a < seq b and Jaccard >= threshold, of texts with any shingle; ids are seqs.
 
-    after: only pairs with seq b over it.
+    texts: seq and text, without exact copies. after: only pairs with seq b over it.
+    """
+    if not threshold > 0:
+        raise ValueError("the threshold has to be positive")
+    if threshold < RANGES:
+        met = _rarest(texts, threshold, after)
+    else:
+        met = _meeting(signatures(texts, F.col("text"), min(threshold, 1.0)), threshold, after)
+    return _verified(texts, met, threshold)
+
+
+def _meeting(signed: DataFrame, threshold: float, after: int | None = None) -> DataFrame:
+    """(a, b) of texts with enough signatures in common and sizes that allow the threshold. signed: sig, seq, about."""
+    shared = signed.withColumn("k", F.count("*").over(Window.partitionBy("sig"))).filter("k > 1").drop("k")
+    shared = Scratch(signed.sparkSession).put(shared).selectExpr("sig", "seq", "shiftright(about, 24) AS n", "shiftright(about, 1) & 8388607 AS need", "about & 1 AS back")
+    a, b = shared.toDF("sig", "a", "na", "need_a", "back_a"), shared.toDF("sig", "b", "nb", "need_b", "back_b")
+    if after is not None:
+        b = b.filter(F.col("b") > after)
+    met = a.join(b, "sig").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & (F.col("back_a") + F.col("back_b") < 2))
+    return met.groupBy("a", "b").agg(F.count("*").alias("k"), F.min(F.least("need_a", "need_b")).alias("need")).filter("k >= need").select("a", "b")
+
+
+def _rarest(texts: DataFrame, threshold: float, after: int | None) -> DataFrame:
+    """(a, b) of texts that share one of their rarest shingles.
 
     The prefix of a set of n is its n - ceil(t*n) + 1 rarest shingles; the small epsilon keeps products such as
     0.55 * 100 from rounding a place too high.
     """
-    if not threshold > 0:
-        raise ValueError("the threshold has to be positive")
-    keyed = sets.filter(F.size("sh") > 0).select("seq", "sh", F.size("sh").alias("n"))
+    keyed = with_sets(texts, F.col("text")).filter(F.size("sh") > 0).select("seq", "sh", F.size("sh").alias("n"))
     each = keyed.select("seq", "n", F.explode("sh").alias("h"))
     often = each.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     keep = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
     # shingles of one text only can't make a pair but do take places of the prefix: they come first
     ranked = each.join(often, "h", "left").withColumn("df", F.coalesce("df", F.lit(1)))
     w = Window.partitionBy("seq").orderBy("df", "h")
-    prefix = ranked.withColumn("k", F.row_number().over(w)).filter((F.col("k") <= keep) & (F.col("df") > 1)).select("seq", "n", "h")
-    a, b = prefix.toDF("a", "na", "h"), prefix.toDF("b", "nb", "h")
-    if after is not None:
-        b = b.filter(F.col("b") > after)
-    met = a.join(b, "h").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)).select("a", "b").distinct()
-    both = met.join(keyed.select(F.col("seq").alias("a"), F.col("sh").alias("sa")), "a").join(keyed.select(F.col("seq").alias("b"), F.col("sh").alias("sb")), "b")
+    prefix = ranked.withColumn("k", F.row_number().over(w)).filter((F.col("k") <= keep) & (F.col("df") > 1))
+    return _meeting(prefix.selectExpr("h AS sig", "seq", "shiftleft(cast(n AS long), 24) | 2 AS about"), threshold, after)
+
+
+def _verified(texts: DataFrame, met: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, inter, uni) of the candidates whose sets have Jaccard >= threshold; only their texts are made into sets."""
+    scratch = Scratch(texts.sparkSession)
+    met = scratch.put(met)
+    ids = met.select(F.col("a").alias("seq")).union(met.select("b")).distinct()
+    sets = scratch.put(with_sets(texts.select("seq", "text").join(ids, "seq", "left_semi"), F.col("text")))
+    both = met.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     inter = F.size(F.array_intersect("sa", "sb")).alias("inter")
     sized = both.select("a", "b", inter, (F.size("sa") + F.size("sb")).alias("total"))
     return sized.select("a", "b", "inter", (F.col("total") - F.col("inter")).alias("uni")).filter(F.col("inter") >= F.col("uni") * threshold - 1e-12)
@@ -100,6 +139,11 @@ def _most_similar(pairs: DataFrame, verdict: DataFrame) -> DataFrame:
     return best.select(F.col("b").alias("seq"), (-F.col("x.m")).alias("kept_seq"), F.col("x.score").alias("score"))
 
 
+def _bare(text: Column) -> Column:
+    """Whether a text has no token; null for null."""
+    return ~F.lower(text).rlike("[a-z0-9]")
+
+
 def find_duplicates(records: DataFrame, text: Column, threshold: float = 0.85) -> DataFrame:
     """D3: duplicate_id, kept_id, reason, score (unrounded) of every record that isn't kept.
 
@@ -107,13 +151,13 @@ def find_duplicates(records: DataFrame, text: Column, threshold: float = 0.85) -
     the highest score, the earliest of equals. Texts without tokens are all alike: the first stays.
     """
     scratch = Scratch(records.sparkSession)
-    rows = scratch.put(shingled(records.filter("trim(id) <> ''"), text))
-    first = rows.groupBy("hash").agg(F.min("seq").alias("seq"), F.min_by("id", "seq").alias("id"), F.min_by("sh", "seq").alias("sh"))
-    first = scratch.put(first)
+    rows = hashed(records.filter("trim(id) <> ''"), text)
+    first = scratch.put(folded(rows).withColumn("bare", _bare(F.col("text"))))
+    rows = scratch.put(rows.drop("text"))
     pairs = scratch.put(similar_pairs(first, threshold))
     verdict = scratch.put(greedy(pairs))
     best = _most_similar(pairs, verdict)
-    bare = first.filter(F.size("sh") == 0)
+    bare = first.filter("bare")
     least = bare.agg(F.min("seq").alias("kept_seq"))
     best = best.union(bare.join(F.broadcast(least)).filter("seq > kept_seq").select("seq", "kept_seq", F.lit(1.0)))
     names = first.select(F.col("seq").alias("kept_seq"), F.col("id").alias("kept_id"))
@@ -148,13 +192,14 @@ def import_duplicates(existing: DataFrame, batch: DataFrame, text: Column, thres
     top = old.agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0]
     low = new.agg(F.coalesce(F.min("seq"), F.lit(0))).first()[0]
     every = old.unionByName(new.select("id", (F.col("seq") - low + top + 1).alias("seq"), text.alias("_text")))
-    rows = scratch.put(shingled(every, F.col("_text")))
+    rows = scratch.put(hashed(every, F.col("_text")))
     stored = F.col("seq") <= top
-    first = scratch.put(rows.groupBy("hash").agg(F.min("seq").alias("seq"), F.min_by("id", "seq").alias("id"), F.min_by("sh", "seq").alias("sh"), F.max_by("id", F.when(stored, F.col("seq"))).alias("last_stored")))
+    last = rows.filter(stored).groupBy("hash").agg(F.max_by("id", "seq").alias("last_stored"))
+    first = scratch.put(folded(rows).join(last, "hash", "left").withColumn("bare", _bare(F.col("text"))))
     pairs = scratch.put(similar_pairs(first, threshold, after=top))
     # pairs end in a new text, so stored ones are never dropped
     near = _most_similar(pairs, scratch.put(greedy(pairs)))
-    bare = first.filter(F.size("sh") == 0)
+    bare = first.filter("bare")
     least = bare.agg(F.min("seq").alias("kept_seq"))
     near = near.union(bare.filter(~stored).join(F.broadcast(least)).filter("seq > kept_seq").select("seq", "kept_seq", F.lit(1.0)))
     named = near.join(first.select(F.col("seq").alias("kept_seq"), F.col("id").alias("near_id")), "kept_seq").select(F.col("seq").alias("first_seq"), "near_id", "score")
@@ -183,12 +228,5 @@ def minhash_pairs(records: DataFrame, text: Column, threshold: float = 0.85, ban
 
     A pair at the threshold shares no band with probability (1 - threshold**rows)**bands: 7e-6 at the defaults.
     """
-    first = Scratch(records.sparkSession).put(shingled(records, text).filter(F.size("sh") > 0).groupBy("hash").agg(F.min("seq").alias("seq"), F.min_by("sh", "seq").alias("sh")))
-    lowest = F.transform(F.sequence(F.lit(0), F.lit(bands * rows - 1)), lambda k: F.array_min(F.transform("sh", lambda h: F.xxhash64(h, k))))
-    bucket = lambda sig: F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.array_join(F.slice(sig, b * rows + 1, rows), ",")))
-    placed = first.select("seq", F.explode(bound(lowest, bucket)).alias("bucket"))
-    met = placed.toDF("a", "bucket").join(placed.toDF("b", "bucket"), "bucket").filter("a < b").select("a", "b").distinct()
-    sets = first.select("seq", "sh")
-    both = met.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    sized = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("inter"), (F.size("sa") + F.size("sb")).alias("total"))
-    return sized.filter(F.col("inter") >= (F.col("total") - F.col("inter")) * threshold - 1e-12).select("a", "b")
+    first = Scratch(records.sparkSession).put(folded(hashed(records, text)))
+    return _verified(first, _meeting(minhash_bands(first, F.col("text"), bands, rows), threshold), threshold).select("a", "b")
