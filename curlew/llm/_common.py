@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,6 +9,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curlew.functions.memory import give_back
 from curlew.llm.tokens import forget_words
 from curlew.sources.scratch import delete, shared_root
 
@@ -75,15 +74,6 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def give_back() -> None:
-    """Returns to the system what this process has freed; its allocators keep it otherwise."""
-    import pyarrow as pa
-
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # another C library
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def lean(run: Callable[[Iterator], Iterator], encodes: bool = False) -> Callable[[Iterator], Iterator]:
     """The function over batches, such that a Python worker, which lives on for other stages, keeps little memory.
 
